@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cluelake.llm import bpe, common, countfast, tokenfile
+from cluelake.llm import bpe, common, countfast, decontam, quality, tokenfile
 
 END_ID = 2
 
@@ -26,5 +26,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return countfast.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op4_byte_bpe, op6_token_counts)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_output, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules)}
+ORACLE_SQL = {"op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
