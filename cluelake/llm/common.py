@@ -134,7 +134,9 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     place = np.arange(len(at)) - np.repeat(before, size)
     v = (data[at].astype(np.uint64) + np.uint64(1)) * _ODD[place & 4095]
     if size.max() > 4096:
-        v *= _ODD[(place >> 12) & 4095] + np.uint64(2) * (place >> 12).astype(np.uint64)
+        far = np.flatnonzero(place >> 12)
+        turn = place[far] >> 12
+        v[far] *= _ODD[turn & 4095] + np.uint64(2) * turn.astype(np.uint64)
     h = np.add.reduceat(v, before) + size.astype(np.uint64) * _ODD[7]
     return mix(h), np.diff(np.searchsorted(first, starts))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, tokenfile
+from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, tokenfile
 
 END_ID = 2
 
@@ -34,9 +34,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op9_lm_scoring, op10_line_dedup)}
 ORACLE_SQL = {"op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
