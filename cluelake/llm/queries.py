@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, tokenfile
+from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, setjoin, tokenfile
 
 END_ID = 2
 
@@ -18,6 +18,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, END_ID)
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setjoin.groups(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -42,5 +46,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op9_lm_scoring, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op9_lm_scoring, op10_line_dedup)}
 ORACLE_SQL = {"op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
