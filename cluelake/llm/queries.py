@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, setjoin, tokenfile
+from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, setjoin, suffixdedup, tokenfile
 
 END_ID = 2
 
@@ -38,6 +38,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.scores(table(spark, sf_dir, "documents"))
 
@@ -46,5 +50,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op9_lm_scoring, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup)}
 ORACLE_SQL = {"op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
