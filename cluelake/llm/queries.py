@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, setjoin, suffixdedup, tokenfile
+from cluelake.llm import bpe, common, countfast, decontam, linededup, quality, scoring, setjoin, suffixdedup, tokenfile, warc
 
 END_ID = 2
 
@@ -18,6 +19,10 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, END_ID)
 
 
+def op2_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.audited(table(spark, sf_dir, "pages"), F.col("page_id") % 101 == 7)
+
+
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setjoin.groups(table(spark, sf_dir, "documents"))
 
@@ -50,5 +55,5 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup)}
-ORACLE_SQL = {"op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_warc_audit, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup)}
+ORACLE_SQL = {"op2_warc_audit": warc.SQL, "op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}

@@ -300,3 +300,16 @@ def _groups(docs: DataFrame) -> DataFrame:
     least_id = node.groupBy("c").agg(F.min("doc_id").alias("component_id"))
     out = node.join(least_id, "c").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return out.union(described.filter("n = 0").select("doc_id", "n", "doc_id"))
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """One row of docs for each group of linked sets: that of the least doc_id (nulls last); rows without shingles stay. Columns stay."""
+    cols = docs.columns
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), *[docs[f"`{c}`"].alias(f"d{i}") for i, c in enumerate(cols)])
+    rows = common.written(rows, "docs")  # numbers the rows once
+    name, text = f"d{cols.index('doc_id')}", f"d{cols.index('text')}"
+    g = groups(rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text"))).select(F.col("doc_id").alias("row"), "component_id")
+    g = g.join(rows.select("row", F.col(name).alias("id")), "row")
+    first = g.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("w"), F.count("*").alias("n")).filter("n > 1")
+    gone = g.join(first, "component_id").filter("row != w.row").select("row")
+    return rows.join(common.written(gone, "copies"), "row", "left_anti").select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(cols)])
