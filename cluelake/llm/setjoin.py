@@ -19,7 +19,8 @@ are found by their rarest hashes: counted among deficient sets, in the first
 |a| - ceil(0.75 |a|) + 1 of each by rising count, linked sets share one.
 Each group is first compared with its least set; only if sets of a group are
 still in different components, those outside its main component are compared
-with the others. Candidates are compared exactly, on all hashes. Nothing is
+with the others. Candidates are compared by a bound first (the
+parity of how many hashes fall on each of some bits), then exactly, on all hashes. Nothing is
 dropped or capped; equal sets are one set throughout.
 """
 
@@ -87,6 +88,26 @@ class Sets:
         self.fp = common.mix(total + sizes.astype(np.uint64) * _C[1]).view(np.int64)
 
 
+    def parity(self, i: int) -> bytes:
+        """How many hashes fall on each bit, modulo 2, of the least power of two of bits that isn't under the size."""
+        n = int(self.n[i])
+        bits = 1 << max(6, (n - 1).bit_length())
+        at = self.h[self.first[i] : self.first[i] + n] & np.uint64(bits - 1)
+        return np.packbits(np.bincount(at.astype(np.int64), minlength=bits) & 1, bitorder="little").tobytes()
+
+
+def _parity_apart(a: bytes, b: bytes) -> int:
+    """A lower bound of the hashes in which two sets differ; the longer parity is folded to the shorter."""
+    x, y, n, m = int.from_bytes(a, "little"), int.from_bytes(b, "little"), len(a), len(b)
+    while n > m:
+        n //= 2
+        x = (x >> 8 * n) ^ (x & (1 << 8 * n) - 1)
+    while m > n:
+        m //= 2
+        y = (y >> 8 * m) ^ (y & (1 << 8 * m) - 1)
+    return (x ^ y).bit_count()
+
+
 def _shingles(w: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     starts = np.cumsum(n) - n
     k = np.where(n >= WORDS, n - WORDS + 1, np.minimum(n, 1))
@@ -146,8 +167,8 @@ def _described(s: Segment):
     x = Sets(s)
     margins = {role: margin for role, _, _, margin in _roles(x)}
     yield pa.RecordBatch.from_arrays(
-        [s.id_array(), pa.array(x.n), pa.array(x.fp), pa.array([s.seg] * len(x.n), pa.int64()), pa.array(np.arange(len(x.n))), pa.array(margins[0]), pa.array(margins[1])],
-        names=["doc_id", "n", "fp", "seg", "at", "margin0", "margin1"],
+        [s.id_array(), pa.array(x.n), pa.array(x.fp), pa.array([s.seg] * len(x.n), pa.int64()), pa.array(np.arange(len(x.n))), pa.array(margins[0]), pa.array(margins[1]), pa.array([x.parity(i) if k else b"" for i, k in enumerate(x.n.tolist())], pa.binary())],
+        names=["doc_id", "n", "fp", "seg", "at", "margin0", "margin1", "parity"],
     )
 
 
@@ -209,6 +230,7 @@ def _fetched(seg: DataFrame, wanted: DataFrame, n_segments: int) -> DataFrame:
     """fp, set (array of long) of wanted sets (fp, seg, at: one place of each)."""
     lists = wanted.groupBy("seg", F.floor(F.col("at") / 4096).alias("bucket")).agg(F.collect_list("at").alias("ats"))
     path = segments.keep_answers(lists, n_segments)
+    seg.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # segments again
 
     def run(s: Segment):
         ats = [i for r in segments.answer(path, s.seg).values() for i in r["ats"]]
@@ -220,7 +242,9 @@ def _fetched(seg: DataFrame, wanted: DataFrame, n_segments: int) -> DataFrame:
                 k = ats[i : i + 256]
                 yield pa.RecordBatch.from_pydict({"fp": x.fp[k], "set": pa.array([x.h[x.first[j] : x.first[j] + x.n[j]].view(np.int64) for j in k], pa.list_(pa.int64()))})
 
-    return common.written(segments.each(seg, run, "fp long, set array<long>"), "sets")
+    out = common.written(segments.each(seg, run, "fp long, set array<long>"), "sets")
+    common.session(seg.sparkSession)
+    return out
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -230,10 +254,19 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return x.filter(100 * both >= PERCENT * (F.size("s") + F.size("t") - both)).select("a", "b")
 
 
-def _of_size(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow a link."""
-    x = pairs.join(sizes.select(F.col("fp").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("fp").alias("b"), F.col("n").alias("nb")), "b")
-    return x.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")).select("a", "b")
+def _plausible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs that may link by their sizes and by the parity of their hashes, which never excludes a link."""
+    one = lambda c: sizes.select(F.col("fp").alias(c), F.col("n").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+    x = pairs.join(one("a"), "a").join(one("b"), "b").filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
+
+    def run(batches):
+        for t in batches:
+            n = [i + j for i, j in zip(t.column("na").to_pylist(), t.column("nb").to_pylist())]
+            # linked sets differ in at most (100 - PERCENT) / (100 + PERCENT) of their sizes' sum
+            keep = [_parity_apart(p, q) * (100 + PERCENT) <= (100 - PERCENT) * k for p, q, k in zip(t.column("pa").to_pylist(), t.column("pb").to_pylist(), n)]
+            yield t.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return x.mapInArrow(run, "a long, b long")
 
 
 def _rare_groups(sets: DataFrame) -> DataFrame:
@@ -253,10 +286,9 @@ def _across(groups: DataFrame, comp: DataFrame) -> DataFrame:
     parts = g.groupBy("h", "component").agg(F.count("*").alias("k"))
     main = parts.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     g = g.join(main.select("h", "main"), "h")
-    left = g.filter("component != main").select("h", F.col("fp").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"))
-    right = g.select("h", F.col("fp").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), (F.col("component") == F.col("main")).alias("is_main"))
+    left = g.filter("component != main").select("h", F.col("fp").alias("a"), F.col("component").alias("ca"))
+    right = g.select("h", F.col("fp").alias("b"), F.col("component").alias("cb"), (F.col("component") == F.col("main")).alias("is_main"))
     x = left.join(right, "h").filter((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b"))))
-    x = x.filter(100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
     return x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -276,24 +308,24 @@ def _groups(docs: DataFrame) -> DataFrame:
     size = common.text_bytes(docs)
     seg = segments.pack(docs, F.lit(0))
     n_segments = seg.count()
-    described = common.written(segments.each(seg, _described, "doc_id long, n long, fp long, seg long, at long, margin0 long, margin1 long"), "described")
+    described = common.written(segments.each(seg, _described, "doc_id long, n long, fp long, seg long, at long, margin0 long, margin1 long, parity binary"), "described")
     n = common.parts(size / 8, BUCKET)  # about 0.7 segment hashes for each word of 6 bytes
     sent = segments.each(seg, lambda s: _sent(s, n), "bucket long, sets binary, counts binary, sigs binary")
     met = common.written(sent.groupBy("bucket").applyInArrow(_met, "a long, b long, role long"), "met")
-    sizes = common.written(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at")).alias("w")), "distinct-sets")
-    pairs = common.written(_of_size(met.filter("role = -1").select("a", "b").distinct(), sizes), "pairs")
+    sizes = common.written(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at", "parity")).alias("w")).select("fp", "n", "margin0", "margin1", "w.seg", "w.at", "w.parity"), "distinct-sets")
+    common.session(docs.sparkSession)
+    pairs = common.written(_plausible(met.filter("role = -1").select("a", "b").distinct(), sizes), "pairs")
     lost = met.filter("role >= 0").groupBy(F.col("a").alias("fp")).agg(*[F.sum(F.when(F.col("role") == r, F.col("b"))).alias(f"lost{r}") for r in (0, 1)])
     deficient = sizes.join(lost, "fp", "left").filter("coalesce(lost0, 0) > margin0 OR coalesce(lost1, 0) > margin1").select("fp")
     deficient = common.written(deficient, "deficient")
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(deficient).distinct().join(sizes, "fp").select("fp", "w.seg", "w.at")
+    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(deficient).distinct().join(sizes, "fp").select("fp", "seg", "at")
     sets = _fetched(seg, wanted, n_segments)
-    common.session(docs.sparkSession)
     links = common.written(_linked(pairs, sets), "links")
     rare = common.written(_rare_groups(sets.join(deficient, "fp", "left_semi")), "rare")
     least = rare.withColumn("a", F.min("fp").over(Window.partitionBy("h"))).filter("a < fp").select("a", F.col("fp").alias("b")).distinct()
-    links = common.written(links.union(_linked(_of_size(least, sizes), sets)).distinct(), "links")
+    links = common.written(links.union(_linked(_plausible(least, sizes), sets)).distinct(), "links")
     comp = components(links)
-    more = common.written(_linked(_across(rare, comp), sets), "links")
+    more = common.written(_linked(_plausible(_across(rare, comp), sizes), sets), "links")
     if not more.isEmpty():
         comp = components(links.union(more))
     node = described.filter("n > 0").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "n", F.coalesce("component", "fp").alias("c"))
