@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from cluelake.llm import common, tokenfile
 
+pa.set_memory_pool(pa.system_memory_pool())  # gives back what is freed
 #: Text bytes of a segment; a longer document is a segment of its own.
-SEGMENT = 8_000_000
+SEGMENT = 4_000_000
 #: Hashes that a bucket answers.
-BUCKET = 1_500_000
+BUCKET = 800_000
 #: Of a hash, the top bits choose the bucket and the others are sent.
 TOP, LOW = 20, 44
 _MASK = np.uint64((1 << LOW) - 1)

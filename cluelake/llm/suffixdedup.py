@@ -32,9 +32,9 @@ from cluelake.llm.segments import Segment
 LENGTH, GRAM = 50, 24
 WIDTH = LENGTH - GRAM + 1
 #: Bytes that a suffix array covers at most (one snippet more).
-SHARD = 4_000_000
+SHARD = 1_500_000
 #: Text bytes for each bucket of snippets.
-BUCKET_BYTES = 12_000_000
+BUCKET_BYTES = 6_000_000
 _M = common.odd(8, 21)
 NULL_ID = np.iinfo(np.int64).max
 
@@ -67,13 +67,13 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return none, none, np.zeros(0, np.uint64)
     v = m[at]
     new = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (at[1:] != at[:-1] + 1))))
-    return at[new], np.diff(np.append(new, len(at))), v[new]
+    return at[new], np.diff(np.append(new, len(at))), common.mix(v[new] ^ _M[6])  # least hashes are small; buckets need even ones
 
 
 def _runs(s: Segment):
     """Of a segment: start (in its data), number of strings, anchor, and document of each run."""
     parts = []
-    for i, j in s.chunks():
+    for i, j in s.chunks(50_000):  # arrays that fit in a cache
         a = int(s.starts[i])
         start, k, v = anchors(s.data[a : s.starts[j]], s.starts[i : j + 1] - a)
         parts.append((start + a, k, v))
