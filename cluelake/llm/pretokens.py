@@ -41,10 +41,10 @@ class Memo:
 
     encode gets new pre-tokens and returns a value for each. Values of pieces
     are concatenated from those of their pre-tokens. Both tables are emptied
-    when they hold `most` entries (200 MB each), so memory is bounded; results don't depend on it.
+    when they hold `most` entries (100 MB each), so memory is bounded; results don't depend on it.
     """
 
-    def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]], most: int = 1_200_000):
+    def __init__(self, pattern: str, encode: Callable[[list[str]], list[bytes]], most: int = 600_000):
         gc.set_threshold(200_000, 20, 100)  # lists of pieces come and go by the million, without cycles
         self.find, self.encode, self.most = regex.compile(pattern).findall, encode, most
         self.letters = r"| ?\p{L}+|" in pattern
