@@ -113,8 +113,8 @@ def wager_amount(c: Column) -> Column:
 
 def file_size(n: Column) -> Column:
     """Bytes for display."""
-    f = lambda d, u: F.concat(F.format_string("%.1f", n / d), F.lit(u))
-    return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).when(n < 1024**2, f(1024.0, " KB")).when(n < 1024**3, f(1024.0**2, " MB")).otherwise(F.concat(F.format_string("%.2f", n / 1024.0**3), F.lit(" GB")))
+    f = lambda d, u: F.concat(F.format_string("%.1f", F.bround(n / d, 1)), F.lit(u))
+    return F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B"))).when(n < 1024**2, f(1024.0, " KB")).when(n < 1024**3, f(1024.0**2, " MB")).otherwise(F.concat(F.format_string("%.2f", F.bround(n / 1024.0**3, 2)), F.lit(" GB")))
 
 
 def duration(seconds: Column) -> Column:
