@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 ARROW_ROWS = 512
 
 _own: dict[str, str] = {}
+_paths: list[tuple[str, str]] = []
 _shipped: set[str] = set()
 
 
@@ -58,9 +59,22 @@ def new_path(spark: SparkSession, name: str) -> str:
     """A path of its own below the shared folder, removed when the driver's Python ends."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     atexit.register(_remove, spark, path)
+    _paths.append((spark.sparkContext.applicationId, path))
     return path
 
 
+def release(spark: SparkSession, docs: DataFrame) -> None:
+    """Removes all that operators have written to the shared folder in this application, but for what docs itself reads.
+
+    For a caller that has stored the operators' results elsewhere.
+    """
+    read = {os.path.dirname(f).split(":", 1)[-1].lstrip("/") for f in docs.inputFiles()}
+    for own in [x for x in _paths if x[0] == spark.sparkContext.applicationId]:
+        if not any(r.startswith(own[1].split(":", 1)[-1].lstrip("/")) for r in read):
+            _remove(spark, own[1])
+            _paths.remove(own)
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -69,12 +83,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def written(df: DataFrame, name: str) -> DataFrame:
     """Cuts the lineage: writes the rows as Parquet to the shared folder and reads them back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def parts(total: float, each: float, least: int = 1) -> int:

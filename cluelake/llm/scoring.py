@@ -82,9 +82,9 @@ _BEGIN_LOW = common.mix(np.array([BEGIN]) * _A) & np.uint64((1 << segments.LOW)
 
 
 def _answered(table: pa.Table) -> pa.Table:
-    """Sums over all segments that ask a bucket; the row of segment -1 has N and V of the bucket's unigrams."""
+    """Sums over all segments that ask a bucket; its first row has N and V of the bucket's unigrams."""
     out: dict[str, list] = {"seg": table.column("seg").to_pylist(), "bucket": table.column("bucket").to_pylist()}
-    stats = [0, 0]
+    rest = [0] * (table.num_rows - 1)
     for name in ("uni", "bi"):
         asked = [segments.receive(x) for x in table.column(name).to_pylist()]
         ids = np.concatenate(asked)
@@ -94,13 +94,9 @@ def _answered(table: pa.Table) -> pa.Table:
         total = np.add.reduceat(count[order].astype(np.int64), np.cumsum(k) - k) if len(some) else np.zeros(0, np.int64)
         if name == "uni":
             real = some != _BEGIN_LOW
-            stats = [int(total[real].sum()), int((total[real] > 0).sum())]
+            out["tokens"], out["types"] = [int(total[real].sum()), *rest], [int((total[real] > 0).sum()), *rest]
         out[f"{name}_n"] = [total[np.searchsorted(some, x)].astype("<u8").tobytes() for x in asked]
-    out["seg"].append(-1)
-    out["bucket"].append(out["bucket"][0])
-    out["uni_n"].append(np.array(stats, "<u8").tobytes())
-    out["bi_n"].append(b"")
-    return pa.table(out)
+    return pa.table({k: out[k] for k in ("seg", "bucket", "tokens", "types", "uni_n", "bi_n")})
 
 
 def _context(c: np.ndarray) -> np.ndarray:
@@ -165,11 +161,10 @@ def _scores(docs: DataFrame) -> DataFrame:
     n = segments.n_buckets(int(common.text_bytes(docs) / 3))  # a unigram and a bigram for each word
     seg = segments.pack(docs, fold(F.col("doc_id")))
     asked = segments.each(seg, lambda s: iter([_asked(s, n)]), "bucket long, seg long, uni binary, uni_n binary, bi binary, bi_n binary")
-    answers = common.written(asked.groupBy("bucket").applyInArrow(_answered, "seg long, bucket long, uni_n binary, bi_n binary"), "ngram-counts")
-    per = answers.filter("seg = -1").select("uni_n").toPandas()  # a row for each bucket
-    total = np.sum([np.frombuffer(x, "<u8") for x in per["uni_n"]] or [np.zeros(2, "<u8")], axis=0).astype(np.int64)
-    n_tokens, n_types = int(total[0]), int(total[1])
-    path = segments.keep_answers(answers.filter("seg >= 0"), seg.count())
+    answers = common.written(asked.groupBy("bucket").applyInArrow(_answered, "seg long, bucket long, tokens long, types long, uni_n binary, bi_n binary"), "ngram-counts")
+    total = answers.agg(F.sum("tokens"), F.sum("types")).first()
+    n_tokens, n_types = total[0] or 0, total[1] or 0
+    path = segments.keep_answers(answers.select("seg", "bucket", "uni_n", "bi_n"), seg.count())
     uniform = 1.0 / (n_types + 1)
 
     def held(s: Segment):
