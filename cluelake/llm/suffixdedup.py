@@ -31,6 +31,8 @@ from cluelake.llm.segments import Segment
 
 LENGTH, GRAM = 50, 24
 WIDTH = LENGTH - GRAM + 1
+#: Strings of a run at most; a longer one is cut.
+MOST = 64
 #: Bytes that a suffix array covers at most (one snippet more).
 SHARD = 1_500_000
 #: Text bytes for each bucket of snippets.
@@ -67,7 +69,10 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         return none, none, np.zeros(0, np.uint64)
     v = m[at]
     new = np.flatnonzero(np.concatenate(([True], (v[1:] != v[:-1]) | (at[1:] != at[:-1] + 1))))
-    return at[new], np.diff(np.append(new, len(at))), common.mix(v[new] ^ _M[6])  # least hashes are small; buckets need even ones
+    k, start, v = np.diff(np.append(new, len(at))), at[new], common.mix(v[new] ^ _M[6])  # least hashes are small; buckets need even ones
+    parts = -(-k // MOST)  # periodic text has long runs
+    turn = common.spans(parts) * MOST
+    return np.repeat(start, parts) + turn, np.minimum(np.repeat(k, parts) - turn, MOST), np.repeat(v, parts)
 
 
 def _runs(s: Segment):
