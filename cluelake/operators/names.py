@@ -64,3 +64,24 @@ def reconcile(mapping: DataFrame, contestants: DataFrame, hosts: list[str]) -> D
 def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The last row of each key."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).filter("_n = 1").drop("_n")
+
+
+def hosts(episodes: DataFrame, mapping: DataFrame, known: DataFrame, default: str) -> DataFrame:
+    """episode, host: a known host (seq, host) as it is; else the first mapped name (episode, id, name) that is one, or a word of one; else the default.
+
+    known is a dimension of a few rows.
+    """
+    k = F.broadcast(known.withColumn("low", F.lower("host")))
+    own = episodes.select("episode", F.trim(F.lower("host_name")).alias("low")).join(k, "low").select("episode", F.col("host").alias("own"))
+    m = mapping.withColumn("name_low", F.trim(F.lower("name")))
+    hit = m.join(k, (F.col("name_low") == F.col("low")) | F.array_contains(F.split("low", " "), F.col("name_low")))
+    hit = hit.groupBy("episode").agg(F.min(F.struct("id", F.col("name_low") != F.col("low"), "seq", "host")).alias("h"))
+    x = episodes.select("episode").join(own, "episode", "left").join(hit, "episode", "left")
+    return x.select("episode", F.coalesce("own", "h.host", F.lit(default)).alias("host"))
+
+
+def mapped_to_known(mapping: DataFrame, contestants: DataFrame, host: DataFrame) -> DataFrame:
+    """mapping (episode, id, name) where the name is the host's (episode, host) or a contestant's."""
+    low = lambda c: F.trim(F.lower(c))
+    ok = contestants.select("episode", low("name").alias("low")).union(host.select("episode", low("host"))).distinct()
+    return mapping.withColumn("low", low("name")).join(ok, ["episode", "low"], "left_semi").drop("low")

@@ -98,3 +98,25 @@ def _fold(key, frames, state):
 def stream(outcomes: DataFrame) -> DataFrame:
     """The state of each id after a stream of outcomes (id, seq, outcome: ok or fail, error)."""
     return outcomes.groupBy("id").applyInPandasWithState(_fold, f"id long, {STATE}", STATE, "update", "NoTimeout")
+
+
+# Where a stage's rows go when it is run anew.
+STAGE_INPUT = {"transcribe": "PENDING", "extract": "TRANSCRIPT_READY", "augment": "SAVING", "verify": "MULTIMODAL_DONE"}
+# Statuses that must be empty before a stage's worker may end, when all stages run together.
+UPSTREAM = {
+    "PENDING": ("PENDING",),
+    "TRANSCRIPT_READY": ("PENDING", "TRANSCRIBING", "TRANSCRIPT_READY", "CLEANED"),
+    "SAVING": ("PENDING", "TRANSCRIBING", "TRANSCRIPT_READY", "CLEANED", "SAVING"),
+    "MULTIMODAL_DONE": ("PENDING", "TRANSCRIBING", "TRANSCRIPT_READY", "CLEANED", "SAVING", "MULTIMODAL_PROCESSING", "MULTIMODAL_DONE", "VECTORIZING"),
+}
+# The same for a stage that runs alone.
+ISOLATED = {"PENDING": ("PENDING",), "TRANSCRIPT_READY": ("TRANSCRIPT_READY", "CLEANED"), "SAVING": ("SAVING", "MULTIMODAL_PROCESSING"), "MULTIMODAL_DONE": ("MULTIMODAL_DONE", "VECTORIZING")}
+
+
+def stage_reset(queue: DataFrame, stage: str) -> DataFrame:
+    """FAILED rows go back to the input of a stage, or to the start."""
+    return reset_failed(queue, STAGE_INPUT.get(stage, "PENDING"))
+
+
+def may_end(queue: DataFrame, target: str, alone: bool = False) -> DataFrame:
+    return drained(queue, list((ISOLATED if alone else UPSTREAM)[target]))

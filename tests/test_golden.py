@@ -138,3 +138,27 @@ def test_stream_state(spark, tmp_path):
     q.awaitTermination()
     got = {r.id: (r.status, r.retry_count, r.last_error and len(r.last_error)) for r in spark.table("states").collect()}
     assert got == {1: ("TRANSCRIPT_READY", 0, None), 2: ("FAILED", 3, 500)}
+
+
+def test_commit(spark, tmp_path):
+    from cluelake.sources import commit
+
+    t = {"a": spark.range(3), "b": spark.range(2)}
+    assert commit.write_batch(t, f"file://{tmp_path}/w", "1") and not commit.write_batch(t, f"file://{tmp_path}/w", "1")
+    commit.stream_sink(f"file://{tmp_path}/w", lambda d: {"a": d, "b": d})(spark.range(5), 2)
+    assert commit.read_table(spark, f"file://{tmp_path}/w", "a").count() == 8
+    q = spark.createDataFrame([(1, True), (2, False)], "episode int, accepted boolean")
+    good, bad = commit.routed(spark.range(1, 4).withColumnRenamed("id", "episode"), q)
+    assert (good.count(), bad.count()) == (1, 2) and commit.with_model(good).count() == 1
+
+
+def test_hosts(spark):
+    known = spark.createDataFrame([(1, "Some Host"), (2, "Other Person")], "seq int, host string")
+    e = spark.createDataFrame([(1, "some host"), (2, "Contestant"), (3, "x")], "episode int, host_name string")
+    m = spark.createDataFrame([(2, "S0", "person"), (3, "S0", "nobody")], "episode int, id string, name string")
+    assert {r.episode: r.host for r in names.hosts(e, m, known, "d").collect()} == {1: "Some Host", 2: "Other Person", 3: "d"}
+    p = spark.createDataFrame([(2, 1, "Nobody")], "episode int, seq int, name string")
+    assert names.mapped_to_known(m, p, names.hosts(e, m, known, "Person")).count() == 0  # "person" and "nobody" of other episodes
+    w = spark.createDataFrame([(1, "FAILED", 3, "e"), (2, "SAVING", 0, None)], "id int, status string, retry_count int, last_error string")
+    assert {r.id: r.status for r in queue.stage_reset(w, "extract").collect()} == {1: "TRANSCRIPT_READY", 2: "SAVING"}
+    assert not queue.may_end(w, "SAVING").first().drained and queue.may_end(w, "PENDING", True).first().drained
