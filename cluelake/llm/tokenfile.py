@@ -18,10 +18,12 @@ the first by the same bytes.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cluelake.llm import common
+from cluelake.llm.countfast import byte_letters
 from cluelake.llm.pretokens import Memo
 
 MAGIC = b"TKF1"
@@ -123,7 +126,7 @@ def encoder(path: str, pattern: str):
         tok.no_padding()
         added = [t.content for t in tok.get_added_tokens_decoder().values()]
         library = lambda texts: [np.array(x.ids, "<u4").tobytes() for x in tok.encode_batch(texts, add_special_tokens=False)]
-        memo = Memo(pattern, library) if pattern else None
+        memo = Memo(pattern, _pre_tokens(tok, path) or library) if pattern else None
 
         def run(texts: list[str]) -> list[bytes]:
             if memo is None:
@@ -138,6 +141,17 @@ def encoder(path: str, pattern: str):
     return _encoders[path]
 
 
+def _pre_tokens(tok, path: str):
+    """Pre-tokens -> packed ids by the library's own model, without its bookkeeping of offsets; None where the file isn't plain byte-level BPE."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre = spec.get("pre_tokenizer") or {}
+    if spec["model"].get("type") != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or spec.get("normalizer"):
+        return None
+    letters, run = {b: c for c, b in byte_letters().items()}, tok.model.tokenize
+    return lambda new: [array("I", [t.id for t in run(x.encode("utf-8", "surrogatepass").decode("latin-1").translate(letters))]).tobytes() for x in new]
+
+
 def write(docs: DataFrame, folder: str, path: str, pattern: str | None, end_id: int, n_files: int) -> DataFrame:
     """Writes the ids of every whole text, end_id appended, to files below folder; returns file_no, file, n_docs, n_ids, n_bytes.
 
