@@ -56,4 +56,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_output, op2_warc_audit, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup)}
-ORACLE_SQL = {"op2_warc_audit": warc.SQL, "op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}
+ORACLE_SQL = {"op3_ngram_jaccard": setjoin.SQL, "op8_suffix_dedup": suffixdedup.SQL, "op2_warc_audit": warc.SQL, "op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL}

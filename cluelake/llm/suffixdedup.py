@@ -347,3 +347,18 @@ def _deduped(docs: DataFrame, last: str, value, kind) -> DataFrame:
         yield pa.RecordBatch.from_arrays([s.id_array(), pa.array(size), pa.array(removed), pa.array(spans), pa.array(kept, kind)], names=names)
 
     return common.written(segments.each(seg, apply, f"doc_id long, n_bytes long, n_removed long, n_spans long, {last}"), "deduped")
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+p AS (SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(0, n - 49)) AS i FROM d WHERE n >= 50) x),
+m AS (SELECT s, min(doc_id) AS least FROM p GROUP BY s),
+bad AS (SELECT p.doc_id, p.i FROM p JOIN m ON m.s = p.s WHERE m.least < p.doc_id),
+mark AS (SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM bad),
+num AS (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM mark),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM num GROUP BY doc_id, k),
+gap AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS f FROM span),
+cut AS (SELECT g.doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last, string_agg(substring(h, 2 * f + 1, 2 * (a - f)), '' ORDER BY a) AS kept FROM gap g JOIN d ON d.doc_id = g.doc_id GROUP BY g.doc_id)
+SELECT d.doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE kept || substring(h, 2 * last + 1) END)) AS kept_sha256 FROM d LEFT JOIN cut ON cut.doc_id = d.doc_id
+"""
