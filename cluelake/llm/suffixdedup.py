@@ -11,8 +11,8 @@ anchors thus gets all equal strings that can matter, in snippets.
 
 In a bucket, distinct snippets are put in shards of SHARD bytes. A shard's
 suffix array is made by Larsson-Sadakane refinement (sort by 7 symbols, then
-double the depth, sorting again only groups that are still equal), and common
-prefixes by Kasai's walk, in lock step over all snippets. Strings of a group
+double the depth, sorting again only groups that are still equal, until none
+is), and common prefixes by Kasai's walk, in lock step over all snippets. Strings of a group
 with a common prefix of LENGTH get the least id of their documents. Shards are
 merged by binary search of each shard's sorted strings in the others'.
 """
@@ -134,30 +134,34 @@ def _snippets(s: Segment, path: str, n: int):
 # ---------------------------------------------------------------- suffix arrays
 
 
-def suffix_array(sym: np.ndarray, depth: int) -> np.ndarray:
-    """Positions of sym (0 ends a snippet, others 1-256) in the order of their first `depth` symbols at least."""
+def suffix_array(sym: np.ndarray) -> np.ndarray:
+    """Positions of sym (0 ends a snippet, others 1-256) in the order of their suffixes.
+
+    The order is complete: a 0 is less than any other symbol, and of two 0s the
+    earlier is less, so no two suffixes are equal and nothing after a snippet's
+    end is compared.
+    """
     n = len(sym)
     pad = np.concatenate((sym, np.zeros(7, sym.dtype))).astype(np.uint64)
-    key = np.zeros(n, np.uint64)
+    key, inside = np.zeros(n, np.uint64), np.ones(n, bool)
     for i in range(7):
-        key = key << np.uint64(9) | pad[i : i + n]
+        inside &= pad[i : i + n] != 0
+        key = key << np.uint64(9) | pad[i : i + n] * inside
     sa = np.argsort(key, kind="stable")
     k = key[sa]
-    new = np.concatenate(([True], k[1:] != k[:-1]))
-    del key, k
-    rank = np.empty(n + 1, np.int64)
-    rank[n] = -1
+    new = np.concatenate(([True], k[1:] != k[:-1])) | ~inside[sa]  # with a 0 at the same place, the order by position is that of the 0s
+    del key, k, inside
+    rank = np.empty(n, np.int64)
     start = np.flatnonzero(new)
     group = np.repeat(start, np.diff(np.append(start, n)))  # a group's rank is the place where it begins
     rank[sa] = group
     h = 7
-    while h < depth:
-        single = new & np.append(new[1:], True)
-        at = np.flatnonzero(~single)  # only groups that are still equal
+    while True:
+        at = np.flatnonzero(~(new & np.append(new[1:], True)))  # only groups that are still equal; they hold no 0 in h symbols
         if not len(at):
-            break
+            return sa
         pos = sa[at]
-        second = rank[np.minimum(pos + h, n)] + 1
+        second = rank[pos + h]
         order = np.lexsort((second, group[at]))
         sa[at] = pos[order]
         second, g = second[order], group[at]
@@ -167,14 +171,14 @@ def suffix_array(sym: np.ndarray, depth: int) -> np.ndarray:
         new[at] = fresh
         rank[sa[at]] = group[at]
         h *= 2
-    return sa
 
 
 def kasai(sym: np.ndarray, sa: np.ndarray, first: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
     """Common prefix of each position with the one before it in sa, up to `most` and the snippet's end.
 
     Walks all snippets in step: from a position to the next the prefix gets
-    shorter by one at most. `most` bounds what is walked again.
+    shorter by one at most, as the order of sa is complete. `most` bounds what
+    is walked again.
     """
     n = len(sym)
     before = np.full(n, -1, np.int64)
@@ -210,7 +214,7 @@ def _shard(raw: list[bytes], least: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     sym = np.frombuffer(b"\0".join(raw) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
     first = np.cumsum(size + 1) - size - 1
     sym[first + size] = 0
-    sa = suffix_array(sym, LENGTH)
+    sa = suffix_array(sym)
     lcp = kasai(sym, sa, first, size, LENGTH)
     k = size - LENGTH + 1
     at = np.repeat(first, k) + common.spans(k)  # where the strings start

@@ -61,3 +61,38 @@ def test_dedup_equals_brute_force(spark):
     assert len(got) == len(want) and sum(x[2] for x in want) > 2000
     assert [x for x in zip(got, want) if x[0] != x[1]][:2] == []
     assert suffixdedup.dedup(df.filter("false")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_overlapping_snippets_of_one_passage(seed):
+    r = random.Random(seed)
+    some = lambda n: bytes(r.choice(b"abcdefgh ") for _ in range(n))
+    passage = some(r.randint(120, 400))
+    cut = lambda: passage[(a := r.randint(0, len(passage) - 60)) : a + r.randint(30, 113)]
+    raw = [(some(r.randint(0, 20)) + cut() + some(r.randint(0, 20)))[:113] for _ in range(r.randint(5, 60))]
+    raw = list(dict.fromkeys(x for x in raw if len(x) >= 50)) or [passage[:60]]
+    least = np.array([r.randint(0, 100) for _ in raw], np.int64)
+    want = {}
+    for x, d in zip(raw, least.tolist()):
+        for i in range(len(x) - 49):
+            want[x[i : i + 50]] = min(want.get(x[i : i + 50], 1000), d)
+    assert suffixdedup._least_ids(raw, least).tolist() == [want[x[i : i + 50]] for x in raw for i in range(len(x) - 49)]
+
+
+def test_suffixes_are_in_order():
+    r = random.Random(5)
+    raw = [bytes(r.choice(b"ab\0") for _ in range(r.randint(1, 40))) for _ in range(50)]
+    sym = np.concatenate([np.append(np.frombuffer(x, np.uint8).astype(np.uint16) + 1, 0) for x in raw]).astype(np.uint16)
+    end = np.flatnonzero(sym == 0)
+    key = lambda i: (sym[i : (e := end[np.searchsorted(end, i)])].tolist() + [0], e)
+    assert suffixdedup.suffix_array(sym).tolist() == sorted(range(len(sym)), key=key)
+
+
+def test_equals_sql_on_documents(spark):
+    """Whole documents of the given tables, whose passages recur in changing contexts."""
+    import duckdb
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    want = duckdb.sql(suffixdedup.SQL.replace("FROM documents", f"FROM '{path}'")).df().sort_values("doc_id").reset_index(drop=True)
+    got = suffixdedup.digest(spark.read.parquet(path)).toPandas().sort_values("doc_id").reset_index(drop=True)
+    assert got[list(want.columns)].astype(str).equals(want.astype(str))
