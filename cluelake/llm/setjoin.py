@@ -14,13 +14,15 @@ hashes have enough filled segments.
 A segment shared by more than GROUP sets (a passage in many documents, a large
 group of near copies) is not used. A set that loses so many segments, or has
 so many empty ones, that the pigeonhole no longer holds is *deficient*. A pair
-with one set that isn't deficient has been found. Pairs of two deficient sets
-are found by their rarest hashes: counted among deficient sets, in the first
-|a| - ceil(0.75 |a|) + 1 of each by rising count, linked sets share one.
-Each group is first compared with its least set; only if sets of a group are
-still in different components, those outside its main component are compared
-with the others. Candidates are compared by a bound first (the
-parity of how many hashes fall on each of some bits), then exactly, on all hashes. Nothing is
+with one set that isn't deficient shares a segment that is used. Pairs of two
+deficient sets are found by their rarest hashes: counted among deficient sets,
+in the first |a| - ceil(0.75 |a|) + 1 of each by rising count, linked sets
+share one. No group's pairs are all formed: each set is compared with the
+group's pivot first. Then, of groups by segments (of GROUP sets at most), sets
+still in different components are compared. Groups by rare hashes may be of any
+size; they are taken apart by the hashes in which sets differ from their pivot
+(see _recentred). Candidates are compared by a bound first (the parity of how
+many hashes fall on each of some bits), then exactly, on all hashes. Nothing is
 dropped or capped; equal sets are one set throughout.
 """
 
@@ -46,6 +48,7 @@ FILL, DELETE = 0.39, 8
 #: Segment hashes that a bucket takes.
 BUCKET = 3_000_000
 NO_ROLE = 1 << 30
+PAIR, MEMBER = -1, -2
 
 
 def _bands() -> np.ndarray:
@@ -196,7 +199,12 @@ def _sent(s: Segment, n: int):
 
 
 def _met(table: pa.Table) -> pa.Table:
-    """Candidate pairs a < b (role -1), and for each set and role how many of its segments too many sets share (b)."""
+    """Rows of three kinds by role.
+
+    PAIR: a set and the pivot a of a segment that both have. MEMBER: a group a
+    of three sets or more that share a segment, and one of them. 0, 1: how many
+    segments of a set, as sent in this role, too many sets share (b).
+    """
     get = lambda c, t: np.concatenate([np.frombuffer(v, t) for v in table.column(c).to_pylist()])
     sets, counts, sig = get("sets", "<i8"), get("counts", "<u4").astype(np.int64), get("sigs", "<u4")
     of = np.repeat(np.arange(len(sets)), counts >> 1)
@@ -212,18 +220,21 @@ def _met(table: pa.Table) -> pa.Table:
     sig, node, role = sig[keep], node[keep], role[keep]
     _, k = segments.distinct(sig)
     start = np.cumsum(k) - k
-    a, b = [], []
-    for size in np.unique(k[(k > 1) & (k <= GROUP)]).tolist():
-        at = start[k == size]
-        for i in range(size):
-            for j in range(i + 1, size):
-                a.append(node[at + i])
-                b.append(node[at + j])
+    # one of equal groups: near copies share segment after segment
+    group = np.add.reduceat(common.mix(node.view(np.uint64).copy()), start) if len(k) else np.zeros(0, np.uint64)
+    group = common.mix(group ^ k.astype(np.uint64)).view(np.int64)
+    small = np.flatnonzero((k > 1) & (k <= GROUP))
+    small = small[np.unique(group[small], return_index=True)[1]]
+    size = k[small]
+    pivot, rest = node[start[small]], size - 1
+    other = node[np.repeat(start[small] + 1, rest) + common.spans(rest)]
+    pairs = np.unique(np.stack([np.repeat(pivot, rest), other], 1), axis=0)
+    small, size = small[size > 2], size[size > 2]
+    member = node[np.repeat(start[small], size) + common.spans(size)]
     hot = np.repeat(k > GROUP, k)
-    cat = lambda v: np.concatenate(v) if v else np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([cat(a), cat(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
     lost, n = np.unique(np.stack([node[hot], role[hot]], 1), axis=0, return_counts=True)
-    return pa.table({"a": np.append(pairs[:, 0], lost[:, 0]), "b": np.append(pairs[:, 1], n), "role": np.append(np.full(len(pairs), -1), lost[:, 1]).astype(np.int64)})
+    out = (pairs[:, 0], np.repeat(group[small], size), lost[:, 0]), (pairs[:, 1], member, n), (np.full(len(pairs), PAIR), np.full(len(member), MEMBER), lost[:, 1])
+    return pa.table({c: np.concatenate(v).astype(np.int64) for c, v in zip(("a", "b", "role"), out)})
 
 
 def _fetched(seg: DataFrame, wanted: DataFrame, n_segments: int) -> DataFrame:
@@ -269,27 +280,83 @@ def _plausible(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     return x.mapInArrow(run, "a long, b long")
 
 
+def _ranked(each: DataFrame, group: list[str], size) -> DataFrame:
+    """For each hash h that sets (fp) of a group share, its place in the order by rarity of every set with it.
+
+    Hashes that only this set has, `alone` of them, come first. Of two sets that
+    share k hashes or more, each has one in common with the other in the first
+    size - k + 1.
+    """
+    known = each.groupBy(*group, "h").agg(F.count("*").alias("k")).filter("k > 1")
+    each = each.join(known, [*group, "h"])
+    w = Window.partitionBy(*group, "fp")
+    each = each.withColumn("alone", size - F.count("*").over(w))
+    return each.withColumn("place", F.col("alone") + F.row_number().over(w.orderBy("k", "h")))
+
+
 def _rare_groups(sets: DataFrame) -> DataFrame:
-    """h, fp, n: the sets that share each hash among their rarest ones."""
+    """h, fp, alone: the sets that share each hash among their rarest ones."""
     each = sets.select("fp", F.size("set").alias("n"), F.explode("set").alias("h"))
-    known = each.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1")
-    each = each.join(known, "h")
-    w = Window.partitionBy("fp")
-    each = each.withColumn("alone", F.col("n") - F.count("*").over(w)).withColumn("no", F.row_number().over(w.orderBy("k", "h")))
-    first = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1  # exact: n * 75 is a whole number
-    return each.filter(F.col("alone") + F.col("no") <= first).select("h", "fp", "n")
+    # a linked set has PERCENT of the hashes at least; exact, as n * PERCENT is a whole number
+    least = F.ceil(F.col("n") * PERCENT / 100)
+    return _ranked(each, [], F.col("n")).filter(F.col("place") <= F.col("n") - least + 1).select("h", "fp", "alone")
+
 
+def _stars(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """p, fp, m, n, linked, apart: each set compared with the pivot p of its groups, the set with the fewest hashes of its own.
 
-def _across(groups: DataFrame, comp: DataFrame) -> DataFrame:
-    """Pairs of a group in different components: sets outside the group's main component with all others of the group."""
-    g = groups.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    Of near copies that is the nearest to their common source. m, n: sizes; apart: the hashes that only one of both has.
+    """
+    pivot = groups.groupBy("h").agg(F.min(F.struct("alone", "fp")).alias("p")).select("h", F.col("p.fp").alias("p"))
+    pairs = common.written(groups.join(pivot, "h").filter("fp != p").select("p", "fp").distinct(), "star-pairs")
+    one = lambda c, v: sets.select(F.col("fp").alias(c), F.col("set").alias(v))
+    x = pairs.join(one("p", "s"), "p").join(one("fp", "t"), "fp")
+    x = x.select("p", "fp", F.size("s").alias("m"), F.size("t").alias("n"), F.concat(F.array_except("s", "t"), F.array_except("t", "s")).alias("apart"))
+    linked = F.size("apart") * (100 + PERCENT) <= (100 - PERCENT) * (F.col("m") + F.col("n"))
+    return common.written(x.withColumn("linked", linked), "stars")
+
+
+def _with_component(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    return rows.join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def _recentred(stars: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Small groups (h, fp, component, near) with every pair of sets of a star that may link and isn't in one component yet.
+
+    Seen from the pivot, |a ^ b| = |A| + |B| - 2 |A & B|, where A and B are the
+    hashes in which a and b differ from it. So linked sets share
+    (|A| + |B| - (a + b) / 7) / 2 of these differences or more (sevenths at 75
+    percent). Sets linked with the pivot are in one component with it. If one
+    of both sets isn't, that number is over 0, and groups by the rarest
+    differences have the pair: near copies of a source share most hashes, but
+    hardly the changes made to each. In the first groups, all pairs count; in
+    the second, those of one set that is linked with the pivot (near) and one
+    that isn't, which may share less.
+    """
+    rows = _with_component(stars, comp)
+    open_ = rows.groupBy("p").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min("linked").alias("all")).filter("x < y AND NOT all").select("p")
+    d, c = 100 + PERCENT, 100 - PERCENT
+    far = d * F.size("apart") - c * F.col("n")
+    least = lambda x: F.ceil(x / (2 * d))
+    rows = rows.join(open_, "p", "left_semi").select("p", "fp", "component", F.col("linked").alias("near"), F.size("apart").alias("size"), least(far + c * F.col("m") + 1).alias("with_far"), least(far - c * F.col("m")).alias("with_near"), F.explode("apart").alias("h"))
+    x = _ranked(rows, ["p"], F.col("size"))
+    up_to = lambda k: F.col("place") <= F.col("size") - F.col(k) + 1
+    x = x.withColumn("short", up_to("with_far")).filter(F.col("short") | (~F.col("near") & up_to("with_near")))
+    x = common.written(x.select(F.xxhash64("p", "h").alias("h"), "fp", "component", "near", "short"), "recentred")
+    return x.filter("short").drop("short"), x.filter("near OR NOT short").drop("short")
+
+
+def _across(g: DataFrame, two: DataFrame) -> DataFrame:
+    """Pairs of a group of g in different components: sets outside the group's main component with all others of the group; of two: near with others."""
     parts = g.groupBy("h", "component").agg(F.count("*").alias("k"))
     main = parts.groupBy("h").agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     g = g.join(main.select("h", "main"), "h")
     left = g.filter("component != main").select("h", F.col("fp").alias("a"), F.col("component").alias("ca"))
     right = g.select("h", F.col("fp").alias("b"), F.col("component").alias("cb"), (F.col("component") == F.col("main")).alias("is_main"))
-    x = left.join(right, "h").filter((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b"))))
-    return x.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    x = left.join(right, "h").filter((F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))).select("a", "b")
+    side = lambda near, c: two.filter("near" if near else "NOT near").select("h", F.col("fp").alias(c), F.col("component").alias(f"c{c}"))
+    y = side(True, "a").join(side(False, "b"), "h").filter("ca != cb").select("a", "b")
+    return x.union(y).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -314,18 +381,21 @@ def _groups(docs: DataFrame) -> DataFrame:
     met = common.written(sent.groupBy("bucket").applyInArrow(_met, "a long, b long, role long"), "met")
     sizes = common.written(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at", "parity")).alias("w")).select("fp", "n", "margin0", "margin1", "w.seg", "w.at", "w.parity"), "distinct-sets")
     common.session(docs.sparkSession)
-    pairs = common.written(_plausible(met.filter("role = -1").select("a", "b").distinct(), sizes), "pairs")
+    pairs = met.filter(F.col("role") == PAIR).select("a", "b").distinct()
+    shared = met.filter(F.col("role") == MEMBER).select(F.col("a").alias("h"), F.col("b").alias("fp")).distinct()
     lost = met.filter("role >= 0").groupBy(F.col("a").alias("fp")).agg(*[F.sum(F.when(F.col("role") == r, F.col("b"))).alias(f"lost{r}") for r in (0, 1)])
     deficient = sizes.join(lost, "fp", "left").filter("coalesce(lost0, 0) > margin0 OR coalesce(lost1, 0) > margin1").select("fp")
     deficient = common.written(deficient, "deficient")
     wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(deficient).distinct().join(sizes, "fp").select("fp", "seg", "at")
     sets = _fetched(seg, wanted, n_segments)
-    links = common.written(_linked(pairs, sets), "links")
     rare = common.written(_rare_groups(sets.join(deficient, "fp", "left_semi")), "rare")
-    least = rare.withColumn("a", F.min("fp").over(Window.partitionBy("h"))).filter("a < fp").select("a", F.col("fp").alias("b")).distinct()
-    links = common.written(links.union(_linked(_plausible(least, sizes), sets)).distinct(), "links")
+    links = common.written(_linked(_plausible(pairs, sizes), sets), "links")
+    stars = _stars(rare, sets)
+    links = common.written(links.union(stars.filter("linked").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b"))).distinct(), "links")
     comp = components(links)
-    more = common.written(_linked(_plausible(_across(rare, comp), sizes), sets), "links")
+    fringe, two = _recentred(stars, comp)
+    shared = common.written(_with_component(shared, comp), "shared").withColumn("near", F.lit(True))
+    more = common.written(_linked(_plausible(_across(fringe.unionByName(shared), two), sizes), sets), "links")
     if not more.isEmpty():
         comp = components(links.union(more))
     node = described.filter("n > 0").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "n", F.coalesce("component", "fp").alias("c"))
