@@ -13,6 +13,7 @@ frequent ones from meeting in one task.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -24,13 +25,16 @@ from pyspark.sql import functions as F
 from cluelake.llm import common, tokenfile
 
 pa.set_memory_pool(pa.system_memory_pool())  # gives back what is freed
+_libc = ctypes.CDLL(None)
 #: Text bytes of a segment; a longer document is a segment of its own.
 SEGMENT = 4_000_000
 #: Hashes that a bucket answers.
 BUCKET = 800_000
-#: Of a hash, the top bits choose the bucket and the others are sent.
-TOP, LOW = 20, 44
-_MASK = np.uint64((1 << LOW) - 1)
+#: The top 32 bits of a hash choose the bucket; its low bits are sent.
+LOW = 48
+_MASK, _HALF = np.uint64((1 << LOW) - 1), np.uint64(32)
+#: Segments whose answers one task writes.
+ANSWERS = 8
 
 
 class Segment:
@@ -108,22 +112,44 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {n: b.column(k)[i].as_py() for k, n in enumerate(b.schema.names)}
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: workers wait for their next task with what they have once taken."""
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
 def each(segments: DataFrame, f: Callable[[Segment], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     def run(batches):
         for row in rows_of(batches):
             yield from f(Segment(row))
+            del row
+            trim()
 
     return segments.mapInArrow(run, schema)
 
 
+def by_bucket(asked: DataFrame, f: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """f of all rows of each bucket."""
+
+    def run(table):
+        out = f(table)
+        trim()
+        return out
+
+    return asked.groupBy("bucket").applyInArrow(run, schema)
+
+
 def n_buckets(total_bytes: int, bytes_a_hash: float = 6.0) -> int:
-    return min(1 << TOP, common.parts(total_bytes / bytes_a_hash, BUCKET))
+    return common.parts(total_bytes / bytes_a_hash, BUCKET)
+
+
+def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
+    return ((hashes >> _HALF) * np.uint64(n)) >> _HALF
 
 
 def bucket_edges(hashes: np.ndarray, n: int) -> np.ndarray:
     """Where the buckets 0..n-1 begin among sorted hashes, and the end."""
-    b = ((hashes >> np.uint64(LOW)) * np.uint64(n)) >> np.uint64(TOP)
-    return np.searchsorted(b, np.arange(n + 1, dtype=np.uint64))
+    return np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=np.uint64))
 
 
 def send(hashes: np.ndarray) -> bytes:
@@ -148,7 +174,7 @@ def distinct(sorted_: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def keep_answers(answers: DataFrame, n_segments: int) -> str:
     """Writes answers (seg, bucket, blob ...) with a folder for each segment; returns the path, from which answer() reads."""
     path = common.new_path(answers.sparkSession, "answers")
-    answers.repartition(max(1, n_segments), F.col("seg")).write.partitionBy("seg").parquet(path)
+    answers.repartition(common.parts(n_segments, ANSWERS), F.col("seg")).write.partitionBy("seg").parquet(path)
     return path
 
 

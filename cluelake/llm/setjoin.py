@@ -194,8 +194,9 @@ def _sent(s: Segment, n: int):
             sets[b].append(x.fp[d].astype("<i8").tobytes())
             counts[b].append((k * 2 + role).astype("<u4").tobytes())
             sigs[b].append(sig[e[b] : e[b + 1]].tobytes())
-    join = lambda v: [b"".join(i) for i in v]
-    yield pa.RecordBatch.from_pydict({"bucket": [*range(n)], "sets": join(sets), "counts": join(counts), "sigs": join(sigs)})
+    filled = [b for b in range(n) if any(sigs[b])]
+    join = lambda v: [b"".join(v[b]) for b in filled]
+    yield pa.RecordBatch.from_pydict({"bucket": filled, "sets": join(sets), "counts": join(counts), "sigs": join(sigs)})
 
 
 def _met(table: pa.Table) -> pa.Table:
@@ -378,7 +379,7 @@ def _groups(docs: DataFrame) -> DataFrame:
     described = common.written(segments.each(seg, _described, "doc_id long, n long, fp long, seg long, at long, margin0 long, margin1 long, parity binary"), "described")
     n = common.parts(size / 8, BUCKET)  # about 0.7 segment hashes for each word of 6 bytes
     sent = segments.each(seg, lambda s: _sent(s, n), "bucket long, sets binary, counts binary, sigs binary")
-    met = common.written(sent.groupBy("bucket").applyInArrow(_met, "a long, b long, role long"), "met")
+    met = common.written(segments.by_bucket(sent, _met, "a long, b long, role long"), "met")
     sizes = common.written(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at", "parity")).alias("w")).select("fp", "n", "margin0", "margin1", "w.seg", "w.at", "w.parity"), "distinct-sets")
     common.session(docs.sparkSession)
     pairs = met.filter(F.col("role") == PAIR).select("a", "b").distinct()

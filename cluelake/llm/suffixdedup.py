@@ -34,9 +34,9 @@ WIDTH = LENGTH - GRAM + 1
 #: Strings of a run at most; a longer one is cut.
 MOST = 64
 #: Bytes that a suffix array covers at most (one snippet more).
-SHARD = 1_500_000
+SHARD = 1_000_000
 #: Text bytes for each bucket of snippets.
-BUCKET_BYTES = 6_000_000
+BUCKET_BYTES = 4_000_000
 _M = common.odd(8, 21)
 NULL_ID = np.iinfo(np.int64).max
 
@@ -94,7 +94,10 @@ def _asked(s: Segment, n: int):
     keep[1:] = (v[1:] != v[:-1]) | (doc[1:] != doc[:-1])
     v, k = segments.distinct(v[keep])
     e = segments.bucket_edges(v, n)
-    yield pa.RecordBatch.from_pydict({"bucket": [*range(n)], "seg": [s.seg] * n, "ids": [segments.send(v[a:b]) for a, b in zip(e, e[1:])], "many": [np.packbits(k[a:b] > 1).tobytes() for a, b in zip(e, e[1:])]})
+    filled = np.flatnonzero(np.diff(e)).tolist()
+    ids = [segments.send(v[e[i] : e[i + 1]]) for i in filled]
+    many = [np.packbits(k[e[i] : e[i + 1]] > 1).tobytes() for i in filled]
+    yield pa.RecordBatch.from_pydict({"bucket": filled, "seg": [s.seg] * len(filled), "ids": ids, "many": many})
 
 
 def _answered(table: pa.Table) -> pa.Table:
@@ -118,7 +121,7 @@ def _snippets(s: Segment, path: str, n: int):
         raise ValueError(f"segment {s.seg} isn't answered in full")
     keep = shared[np.searchsorted(some, v)] == 1
     start, k, v, doc = start[keep], k[keep], v[keep], doc[keep]
-    bucket = (((v >> np.uint64(segments.LOW)) * np.uint64(n)) >> np.uint64(segments.TOP)).astype(np.int64)
+    bucket = segments.bucket_of(v, n).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     start, k, doc, bucket = start[order], k[order], doc[order], bucket[order]
     value = np.where(s.known, s.ids, NULL_ID)[doc]
@@ -147,12 +150,12 @@ def suffix_array(sym: np.ndarray) -> np.ndarray:
     for i in range(7):
         inside &= pad[i : i + n] != 0
         key = key << np.uint64(9) | pad[i : i + n] * inside
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key, kind="stable").astype(np.int32)
     k = key[sa]
     new = np.concatenate(([True], k[1:] != k[:-1])) | ~inside[sa]  # with a 0 at the same place, the order by position is that of the 0s
     del key, k, inside
-    rank = np.empty(n, np.int64)
-    start = np.flatnonzero(new)
+    rank = np.empty(n, np.int32)
+    start = np.flatnonzero(new).astype(np.int32)
     group = np.repeat(start, np.diff(np.append(start, n)))  # a group's rank is the place where it begins
     rank[sa] = group
     h = 7
@@ -181,9 +184,9 @@ def kasai(sym: np.ndarray, sa: np.ndarray, first: np.ndarray, size: np.ndarray,
     is walked again.
     """
     n = len(sym)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, np.int32)
     before[sa[1:]] = sa[:-1]
-    lcp = np.zeros(n, np.int64)
+    lcp = np.zeros(n, np.int32)
     order = np.argsort(-size, kind="stable")
     first, size = first[order], size[order]
     h = np.zeros(len(first), np.int64)
@@ -331,10 +334,10 @@ def _deduped(docs: DataFrame, last: str, value, kind) -> DataFrame:
     n_segments = seg.count()
     n = segments.n_buckets(size, 14.0)
     asked = segments.each(seg, lambda s: _asked(s, n), "bucket long, seg long, ids binary, many binary")
-    path = segments.keep_answers(asked.groupBy("bucket").applyInArrow(_answered, "seg long, bucket long, shared binary, n long"), n_segments)
+    path = segments.keep_answers(segments.by_bucket(asked, _answered, "seg long, bucket long, shared binary, n long"), n_segments)
     m = common.parts(size, BUCKET_BYTES)
     sent = segments.each(seg, lambda s: _snippets(s, path, m), "bucket long, seg long, start binary, k binary, value binary, data binary")
-    gone = segments.keep_answers(sent.groupBy("bucket").applyInArrow(_found, "seg long, bucket long, start binary, end binary"), n_segments)
+    gone = segments.keep_answers(segments.by_bucket(sent, _found, "seg long, bucket long, start binary, end binary"), n_segments)
 
     def apply(s: Segment):
         mark = np.zeros(len(s.data) + 1, np.int32)
