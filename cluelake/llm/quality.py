@@ -20,6 +20,8 @@ MIN_WORDS = 50
 HOST_LIMIT = 0.75
 #: Strength of the prior, in documents, at least and at most.
 STRENGTH = (1.0, 1000.0)
+#: Rejected hosts are broadcast if there are this many at most (rows of under 300 bytes).
+BROADCAST_ROWS = 50_000
 
 
 def measured(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -68,9 +70,9 @@ def rule_failed() -> Column:
     return base_failed() | (10 * F.col("q_n_symbols") > F.col("q_word_chars")) | (2 * F.col("q_n_dup_lines") > F.col("q_n_lines")) | (F.col("q_word_chars") < 2 * n) | (F.col("q_word_chars") > 20 * n)
 
 
-def hosts(rows: DataFrame, host: str = "source") -> DataFrame:
+def hosts(rows: DataFrame, host: str = "source", failed: Column | None = None) -> DataFrame:
     """host, n, failed, rate (shrunk), host_ok of each host of measured rows."""
-    by = rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.count_if(rule_failed()).alias("failed"))
+    by = rows.groupBy(F.col(host).alias("host")).agg(F.count("*").alias("n"), F.count_if(rule_failed() if failed is None else failed).alias("failed"))
     rate = F.col("failed") / F.col("n")
     prior = by.agg(F.avg(rate).alias("m"), F.coalesce(F.var_pop(rate), F.lit(0.0)).alias("v"))
     strength = F.when(F.col("v") > 0, F.greatest(F.lit(STRENGTH[0]), F.least(F.lit(STRENGTH[1]), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))).otherwise(F.lit(STRENGTH[1]))
@@ -80,24 +82,41 @@ def hosts(rows: DataFrame, host: str = "source") -> DataFrame:
     return out.select("host", "n", "failed", "rate", (F.col("rate") <= HOST_LIMIT).alias("host_ok"))
 
 
+def _few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if its counted rows are few enough; beyond, Spark splits the partitions of large hosts in the shuffled join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of each row of docs (doc_id, text, source)."""
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of each row of docs (doc_id, text, source).
+
+    A null or empty text has no words and fails the base rules. A null host is
+    a host of its own. Repeated rows count, and are judged, as often as they
+    occur. An empty table gives an empty one; other columns of docs are left out.
+    """
     common.session(docs.sparkSession)
     names = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
     rows = common.written(measured(docs.select("doc_id", "text", "source")).drop("text"), "quality")
-    out = rows.join(hosts(rows), rows["source"].eqNullSafe(F.col("host")))
-    return out.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in names if c != "n_lines"], base_failed().alias("base_failed"), (~base_failed() & F.col("host_ok")).alias("kept"))
+    bad = common.written(hosts(rows).filter("NOT host_ok").select("host", F.lit(True).alias("bad")), "bad-hosts")
+    out = rows.join(_few(bad), rows["source"].eqNullSafe(F.col("host")), "left")
+    return out.select("doc_id", *[F.col(f"q_{c}").alias(c) for c in names if c != "n_lines"], base_failed().alias("base_failed"), (~base_failed() & F.col("bad").isNull()).alias("kept"))
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass, with their own columns."""
+    """The rows of docs that pass, with their own columns, whatever these are called.
+
+    Null texts, null hosts, repeated rows and an empty table fare as in verdicts.
+    """
     common.session(docs.sparkSession)
     cols = docs.columns
     rows = docs.select(*[docs[f"`{c}`"].alias(f"d{i}") for i, c in enumerate(cols)])
-    rows = measured(rows, f"d{cols.index('text')}")
+    host, text = f"d{cols.index('source')}", f"d{cols.index('text')}"
+    rows = measured(rows, text).withColumns({"q_failed": base_failed(), "q_rules": rule_failed()})
+    # of a document that fails by itself only the host is wanted
+    rows = rows.select(*[F.when(~F.col("q_failed"), F.col(c)).alias(c) if c == text else c for c in rows.columns if c.startswith("d")], "q_failed", "q_rules")
     rows = common.written(rows, "quality")
-    found = hosts(rows, f"d{cols.index('source')}")
-    out = rows.filter(~base_failed()).join(found.filter("host_ok"), F.col(f"d{cols.index('source')}").eqNullSafe(F.col("host")), "left_semi")
+    bad = common.written(hosts(rows, host, F.col("q_rules")).filter("NOT host_ok").select("host"), "bad-hosts")
+    out = rows.filter("NOT q_failed").join(_few(bad), F.col(host).eqNullSafe(F.col("host")), "left_anti")
     return out.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(cols)])
 
 
