@@ -44,6 +44,8 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("known", "<u4"), ("n_ids", "<u4"), ("offse
 TAIL = struct.Struct("<QQI4s")
 #: Text bytes behind a file; documents of a file are ordered in one task.
 FILE_BYTES = 24_000_000
+#: Files whose sums one task carries.
+RUN = 1000
 
 
 class Corrupt(ValueError):
@@ -155,11 +157,15 @@ def _pre_tokens(tok, path: str):
 def write(docs: DataFrame, folder: str, path: str, pattern: str | None, end_id: int, n_files: int) -> DataFrame:
     """Writes the ids of every whole text, end_id appended, to files below folder; returns file_no, file, n_docs, n_ids, n_bytes.
 
-    Null texts are empty; rows with equal ids follow one another by their text. An empty table makes no file.
+    Null texts are empty; null ids come first; rows with equal ids follow one
+    another by the hash of their text, so that no text is needed to find the
+    files' bounds. An empty table makes no file. Other columns are left out. A
+    very long text is encoded in one piece.
     """
     spark = common.session(docs.sparkSession)
-    rows = docs.select("doc_id", "text").repartitionByRange(n_files, F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
-    rows = rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tie")]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tie")).repartitionByRange(n_files, *order)
+    rows = rows.sortWithinPartitions(*order, F.col("text").asc_nulls_first()).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end, out = encoder(path, pattern or ""), struct.pack("<I", end_id), None
@@ -210,11 +216,19 @@ def _scan(manifest: DataFrame, folder: str, schema: str, value, kind) -> DataFra
     return manifest.select("file_no", "file", "n_bytes").repartition(n, "file_no").mapInArrow(run, schema)
 
 
+def _starts(manifest: DataFrame) -> DataFrame:
+    """file_no, file_start: the ids in all files before each. Sums are carried over runs of RUN files, so that no task gets a row for every file."""
+    files = manifest.select("file_no", "n_ids", F.floor(F.col("file_no") / RUN).alias("run"))
+    runs = files.groupBy("run").agg(F.sum("n_ids").alias("k"))
+    runs = runs.select("run", (F.sum("k").over(Window.orderBy("run")) - F.col("k")).alias("before"))
+    inside = F.sum("n_ids").over(Window.partitionBy("run").orderBy("file_no")) - F.col("n_ids")
+    return files.withColumn("inside", inside).join(runs, "run").select("file_no", (F.col("before") + F.col("inside")).alias("file_start"))
+
+
 def digest(manifest: DataFrame, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids_crc32, read from the files."""
     rows = _scan(manifest, folder, "doc_id long, file_no long, frame long, before long, ids_crc32 long, n_tokens long", zlib.crc32, pa.int64())
-    files = manifest.select("file_no", (F.sum("n_ids").over(Window.orderBy("file_no")) - F.col("n_ids")).alias("file_start"))  # a row for each file
-    return rows.join(files, "file_no").select("doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
+    return rows.join(_starts(manifest), "file_no").select("doc_id", (F.col("file_start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str | None, end_id: int) -> DataFrame:
