@@ -26,6 +26,8 @@ from cluelake.llm.tokenfile import filesystem
 FAN = 16
 #: Payload bytes of a file.
 FILE_BYTES = 32_000_000
+#: Bytes read at a time where a record's end isn't known yet.
+HEAD = 4096
 
 
 def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
@@ -38,11 +40,14 @@ def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
 def write(pages: DataFrame, folder: str, n_files: int) -> DataFrame:
     """Writes pages (page_id, url, html, flip) as WARC files in ascending page_id; returns file_no, file, n_bytes.
 
-    Where flip is true a bit in the middle of the record is inverted: damage
-    for tests of the audit. A file gets its name when it is complete.
+    Null ids come first; rows with equal ids follow one another by the hash of
+    url and html, so that no page is needed to find the files' bounds. Where
+    flip is true a bit in the middle of the record is inverted: damage for
+    tests of the audit. A file gets its name when it is complete.
     """
-    order = [F.col(c).asc_nulls_first() for c in ("page_id", "url", "html")]
-    rows = pages.select("page_id", "url", "html", "flip").repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+    order = [F.col("page_id").asc_nulls_first(), F.col("tie")]
+    rows = pages.select("page_id", "url", "html", "flip", F.xxhash64("url", "html").alias("tie")).repartitionByRange(n_files, *order)
+    rows = rows.sortWithinPartitions(*order, F.col("url").asc_nulls_first(), F.col("html").asc_nulls_first()).drop("tie")
 
     def run(batches):
         no, (fs, top), out, size = TaskContext.get().partitionId(), filesystem(folder), None, 0
@@ -83,31 +88,31 @@ def records(source: pafs.FileSystem, file: str, index: list[tuple[int, int]] | N
             if rest:
                 yield at, rest
             return
+        held = b""  # read, but not yet given out
+
+        def more() -> bool:
+            nonlocal held
+            x = f.read(HEAD)
+            held += x
+            return bool(x)
+
         while True:
-            head = b""
-            while not head.endswith(b"\r\n\r\n"):
-                x = _line(f)
-                if not x:
-                    break
-                head += x
-            if not head:
+            while (end := held.find(b"\r\n\r\n")) < 0 and more():
+                pass
+            if not held:
                 return
-            size = next((x[15:] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), b"")
-            raw = head + (f.read(int(size) + 4) if head.endswith(b"\r\n\r\n") and size.strip().isdigit() else f.read())
+            size = next((x[15:] for x in held[: max(end, 0)].split(b"\r\n") if x.lower().startswith(b"content-length:")), b"")
+            if end < 0 or not size.strip().isdigit():
+                raw, held = held + f.read(), b""
+            else:
+                n = end + 4 + int(size) + 4
+                if len(held) < n:
+                    held += f.read(n - len(held))
+                raw, held = held[:n], held[n:]
             yield at, raw
             at += len(raw)
 
 
-def _line(f) -> bytes:
-    out = bytearray()
-    while not out.endswith(b"\n"):
-        x = f.read(1)
-        if not x:
-            break
-        out += x
-    return bytes(out)
-
-
 def leaves(files: DataFrame, folder: str, against: DataFrame | None = None) -> DataFrame:
     """file_no, at, start, end, hash of every record of the files.
 
