@@ -61,6 +61,12 @@ class Segment:
     def text(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.starts[i + 1] - 1].tobytes()
 
+    def only(self, which: list[int]) -> Segment:
+        """A segment of some of the documents."""
+        raw = [self.data[self.starts[i] : self.starts[i + 1]].tobytes() for i in which]
+        starts = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype("<i8")
+        return Segment({"seg": self.seg, "ids": self.ids[which].tobytes(), "known": self.known[which].tobytes(), "extra": self.extra[which].tobytes(), "starts": starts.tobytes(), "data": b"".join(raw)})
+
 
 SCHEMA = "seg long, ids binary, known binary, extra binary, starts binary, data binary"
 

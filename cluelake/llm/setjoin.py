@@ -70,13 +70,10 @@ _C = common.odd(16, 7)
 class Sets:
     """Shingle sets of a segment's documents: hashes sorted within each, how many, where each begins, and the set's own hash."""
 
-    def __init__(self, s: Segment, only: np.ndarray | None = None):
+    def __init__(self, s: Segment):
         hashes, sizes = [], np.zeros(len(s.ids), np.int64)
         for i, j in s.chunks():
             w, n = common.words(common.LOWER[s.data[s.starts[i] : s.starts[j]]], s.starts[i : j + 1] - s.starts[i])
-            if only is not None:  # words of other documents go
-                keep = only[i:j]
-                w, n = w[np.repeat(keep, n)], np.where(keep, n, 0)
             h, k = _shingles(w, n)
             hashes.append(h)
             sizes[i:j] = k
@@ -245,14 +242,10 @@ def _fetched(seg: DataFrame, wanted: DataFrame, n_segments: int) -> DataFrame:
     seg.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # segments again
 
     def run(s: Segment):
-        ats = [i for r in segments.answer(path, s.seg).values() for i in r["ats"]]
-        if ats:
-            only = np.zeros(len(s.ids), bool)
-            only[ats] = True
-            x = Sets(s, only)
-            for i in range(0, len(ats), 256):
-                k = ats[i : i + 256]
-                yield pa.RecordBatch.from_pydict({"fp": x.fp[k], "set": pa.array([x.h[x.first[j] : x.first[j] + x.n[j]].view(np.int64) for j in k], pa.list_(pa.int64()))})
+        ats = sorted(i for r in segments.answer(path, s.seg).values() for i in r["ats"])
+        for i in range(0, len(ats), 256):
+            x = Sets(s.only(ats[i : i + 256]))
+            yield pa.RecordBatch.from_pydict({"fp": x.fp, "set": pa.array([x.h[a : a + n].view(np.int64) for a, n in zip(x.first.tolist(), x.n.tolist())], pa.list_(pa.int64()))})
 
     out = common.written(segments.each(seg, run, "fp long, set array<long>"), "sets")
     common.session(seg.sparkSession)
@@ -387,16 +380,19 @@ def _groups(docs: DataFrame) -> DataFrame:
     lost = met.filter("role >= 0").groupBy(F.col("a").alias("fp")).agg(*[F.sum(F.when(F.col("role") == r, F.col("b"))).alias(f"lost{r}") for r in (0, 1)])
     deficient = sizes.join(lost, "fp", "left").filter("coalesce(lost0, 0) > margin0 OR coalesce(lost1, 0) > margin1").select("fp")
     deficient = common.written(deficient, "deficient")
-    wanted = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).union(deficient).distinct().join(sizes, "fp").select("fp", "seg", "at")
-    sets = _fetched(seg, wanted, n_segments)
+    pairs = common.written(_plausible(pairs, sizes), "pairs")
+    fetched = lambda of: _fetched(seg, of.distinct().join(sizes, "fp").select("fp", "seg", "at"), n_segments)
+    ends = lambda p: p.select(F.col("a").alias("fp")).union(p.select("b"))
+    sets = fetched(ends(pairs).union(deficient))
     rare = common.written(_rare_groups(sets.join(deficient, "fp", "left_semi")), "rare")
-    links = common.written(_linked(_plausible(pairs, sizes), sets), "links")
+    links = common.written(_linked(pairs, sets), "links")
     stars = _stars(rare, sets)
     links = common.written(links.union(stars.filter("linked").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b"))).distinct(), "links")
     comp = components(links)
     fringe, two = _recentred(stars, comp)
     shared = common.written(_with_component(shared, comp), "shared").withColumn("near", F.lit(True))
-    more = common.written(_linked(_plausible(_across(fringe.unionByName(shared), two), sizes), sets), "links")
+    pairs = common.written(_plausible(_across(fringe.unionByName(shared), two), sizes), "pairs")
+    more = common.written(_linked(pairs, fetched(ends(pairs))), "links")
     if not more.isEmpty():
         comp = components(links.union(more))
     node = described.filter("n > 0").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "n", F.coalesce("component", "fp").alias("c"))
