@@ -61,6 +61,13 @@ class Segment:
     def text(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.starts[i + 1] - 1].tobytes()
 
+    def part(self, i: int, j: int) -> Segment:
+        """The documents from i up to j, without a copy of their texts."""
+        out = object.__new__(Segment)
+        out.seg, out.ids, out.extra, out.known = self.seg, self.ids[i:j], self.extra[i:j], self.known[i:j]
+        out.starts, out.data = self.starts[i : j + 1] - self.starts[i], self.data[self.starts[i] : self.starts[j]]
+        return out
+
     def only(self, which: list[int]) -> Segment:
         """A segment of some of the documents."""
         raw = [self.data[self.starts[i] : self.starts[i + 1]].tobytes() for i in which]

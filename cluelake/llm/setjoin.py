@@ -46,7 +46,9 @@ GROUP = 24
 #: Segments as a part of a band's largest size, and the largest size of bands with deletions.
 FILL, DELETE = 0.39, 8
 #: Segment hashes that a bucket takes.
-BUCKET = 3_000_000
+BUCKET = 1_500_000
+#: Text bytes whose sets a worker holds at once.
+CHUNK = 1_000_000
 NO_ROLE = 1 << 30
 PAIR, MEMBER = -1, -2
 
@@ -164,16 +166,26 @@ def _roles(x: Sets):
 
 
 def _described(s: Segment):
+    for i, j in s.chunks(CHUNK):
+        yield _described_part(s.part(i, j), i)
+
+
+def _described_part(s: Segment, first: int) -> pa.RecordBatch:
     x = Sets(s)
     margins = {role: margin for role, _, _, margin in _roles(x)}
-    yield pa.RecordBatch.from_arrays(
-        [s.id_array(), pa.array(x.n), pa.array(x.fp), pa.array([s.seg] * len(x.n), pa.int64()), pa.array(np.arange(len(x.n))), pa.array(margins[0]), pa.array(margins[1]), pa.array([x.parity(i) if k else b"" for i, k in enumerate(x.n.tolist())], pa.binary())],
+    return pa.RecordBatch.from_arrays(
+        [s.id_array(), pa.array(x.n), pa.array(x.fp), pa.array([s.seg] * len(x.n), pa.int64()), pa.array(first + np.arange(len(x.n))), pa.array(margins[0]), pa.array(margins[1]), pa.array([x.parity(i) if k else b"" for i, k in enumerate(x.n.tolist())], pa.binary())],
         names=["doc_id", "n", "fp", "seg", "at", "margin0", "margin1", "parity"],
     )
 
 
 def _sent(s: Segment, n: int):
-    """A row for each bucket: sets (their hash), role and number of the segments that follow, 4 bytes each."""
+    """Rows for buckets: sets (their hash), role and number of the segments that follow, 4 bytes each."""
+    for i, j in s.chunks(CHUNK):
+        yield _sent_part(s.part(i, j), n)
+
+
+def _sent_part(s: Segment, n: int) -> pa.RecordBatch:
     x = Sets(s)
     once = np.zeros(len(x.n), bool)
     once[np.unique(x.fp, return_index=True)[1]] = True
@@ -193,7 +205,7 @@ def _sent(s: Segment, n: int):
             sigs[b].append(sig[e[b] : e[b + 1]].tobytes())
     filled = [b for b in range(n) if any(sigs[b])]
     join = lambda v: [b"".join(v[b]) for b in filled]
-    yield pa.RecordBatch.from_pydict({"bucket": filled, "sets": join(sets), "counts": join(counts), "sigs": join(sigs)})
+    return pa.RecordBatch.from_pydict({"bucket": filled, "sets": join(sets), "counts": join(counts), "sigs": join(sigs)})
 
 
 def _met(table: pa.Table) -> pa.Table:
