@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cluelake.functions.text import dollar_value
+
 # Fixed values: (first round, second round) of each board format.
 FORMATS = {"standard": ((200, 400, 600, 800, 1000), (400, 800, 1200, 1600, 2000)), "celebrity": ((100, 200, 300, 400, 500), (200, 400, 600, 800, 1000)), "classic": ((100, 200, 300, 400, 500), (200, 400, 600, 800, 1000))}
 TOLERANCE = 100
@@ -25,6 +27,11 @@ def row_of(value: Column, round_: Column, fallback: Column, fmt: str = "standard
     return F.when(~round_.isin("J!", "Double J!"), 1).when(value.isNull(), safe).when(near["d"] <= TOLERANCE, near["row"]).otherwise(safe)
 
 
+def announced_row(announcement: Column, round_: Column, fallback: Column, fmt: str = "standard") -> Column:
+    """Board row of the value that a selection names."""
+    return row_of(dollar_value(announcement), round_, fallback, fmt)
+
+
 def missing_rows(clues: DataFrame, manifest: DataFrame) -> DataFrame:
     """manifest (episode, round, category) with the sorted rows of 1..5 that no clue has, where there are any."""
     found = clues.groupBy("episode", "round", "category").agg(F.collect_set("board_row").alias("rows"))

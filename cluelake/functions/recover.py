@@ -5,11 +5,14 @@ from __future__ import annotations
 import ast
 import json
 import re
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cluelake.functions.text import NO_NAMES
+
 
 def closed_json(text: str) -> str:
     """Truncated JSON cut after its last whole element and closed; text that ends in } stays as it is."""
@@ -49,6 +52,27 @@ def _flat(x: dict) -> dict[str, str]:
     return {str(k): v.strip() for k, v in x.items() if isinstance(v, str) and v.strip()} if any(_IS_ID.match(str(k)) for k in x) else {}
 
 
+# Known hosts.
+HOSTS = ("Ken Jennings", "Ryan Seacrest", "Mayim Bialik", "Alex Trebek", "Buzzy Cohen")
+
+
+def inferred(segments: list) -> dict[str, str]:
+    """Speakers and names from diarised segments: who speaks most often hosts; the names that the host says most go to the others, by their numbers."""
+    said: dict[str, list[str]] = {}
+    for r in segments:
+        if isinstance(r, dict) and r.get("speaker"):
+            said.setdefault(r["speaker"], []).append(str(r.get("text", "")))
+    if not said:
+        return {}
+    host = max(said, key=lambda s: len(said[s]))
+    heard = " ".join(said[host])
+    count = Counter(w for w in re.findall(r"\b([A-Z][a-z]{2,})\b", heard) if w not in NO_NAMES)
+    names = iter([w for w, _ in count.most_common(3)])
+    others = sorted((s for s in said if s != host), key=lambda s: int(s[8:]) if re.fullmatch(r"SPEAKER_\d+", s) else 999)
+    known = next((h for h in HOSTS if any(part in heard for part in (h.split()[0], h.split()[-1]))), "Host")
+    return {host: known} | {s: next(names, f"Contestant ({s})") for s in others}
+
+
 def speaker_map(text: str) -> dict[str, str]:
     """Speaker ids and names from JSON, a Python literal, a list of records, or prose."""
     for read in (json.loads, ast.literal_eval):
@@ -69,6 +93,10 @@ def speaker_map(text: str) -> dict[str, str]:
                     out[str(r[ids[-1]])] = str(r[names[-1]]).strip()
             if out:
                 return out
+            if any(isinstance(r, dict) and "text" in r and "speaker" in r for r in x):
+                found = inferred(x)
+                if found:
+                    return found
     return {k: n for k, v in _PAIR.findall(text) if (n := v.strip().rstrip(".,;:'\""))}
 
 

@@ -19,6 +19,15 @@ PERSON_WORDS = (
 SINGULAR = ("paris", "mars", "jaws", "athens", "brussels", "naples", "algiers", "texas", "arkansas", "kansas")
 # Clue values of all board formats.
 CLUE_VALUES = (100, 200, 300, 400, 500, 600, 800, 900, 1000, 1200, 1500, 1600, 2000)
+# Capitalised words that are no names.
+NO_NAMES = (
+    "The", "And", "But", "For", "Not", "You", "Your", "Yes", "That", "This", "What", "Who", "Where", "When", "How", "Which", "Here", "There", "Back",
+    "Right", "Correct", "Answer", "Daily", "Double", "J!", "Final", "Category", "Categories", "Clue", "Score", "Place", "First", "Second", "Third",
+    "Let", "Take", "Look", "Start", "Pick", "Select", "Got", "Put", "Going", "Come", "Most", "Last", "Next", "Okay", "Well", "Now", "Get", "See",
+    "Say", "Try", "Make", "Give", "Just", "Also", "Still", "Much", "Many", "Some", "More", "Very", "Than", "Only", "Good", "Great", "Nice",
+    "Excellent", "Exactly", "Time", "Round", "Board", "Please", "Today", "Thanks", "Thank", "These", "Those", "They", "Their", "Them", "Because",
+    "Would", "Could", "Should", "Been", "Have", "Has", "Had", "Does", "Did",
+)
 # Fixed pattern: words that make an amount a score or a wager.
 SCORE_CONTEXT = r"(?i)(?:wager|wagered|wagers|score|scores|now\s+has|has\s+\$|leads?\s+with|total|behind|ahead|trailing|worth|if\s+you(?:'re|\s+are)\s+(?:right|correct))"
 # Fixed pattern: announcements of a selection before the clue.
@@ -147,3 +156,13 @@ def backoff_seconds(attempt: Column, hint: Column | None = None) -> Column:
     """The hinted seconds, else 5 * 2^n, 120 at most."""
     own = F.least(5 * F.pow(F.lit(2.0), attempt), F.lit(120.0))
     return own if hint is None else F.coalesce(hint.cast("double"), own)
+
+
+def short_error(c: Column) -> Column:
+    """An error for display: 40 characters at most."""
+    return F.when(F.length(c) > 40, F.concat(F.substring(c, 1, 37), F.lit("..."))).otherwise(c)
+
+
+def fixed_responses(c: Column) -> Column:
+    """How many rows question_form changes: an aggregate."""
+    return F.count_if(~question_form(c).eqNullSafe(c))

@@ -17,6 +17,11 @@ def response_start(buzz_ms: Column, lockout: Column) -> Column:
     return buzz_ms + 250 + F.when(lockout, 250).otherwise(0)
 
 
+def buzz_start(segment_start: Column, found: Column, host_finish_ms: Column) -> Column:
+    """Milliseconds of a buzz: the start of its segment (0 where that is null), or the end of the clue without a line number."""
+    return F.when(found, F.coalesce(segment_start, F.lit(0.0))).otherwise(host_finish_ms)
+
+
 def brain_freeze(response_ms: Column, buzz_ms: Column, lockout: Column) -> Column:
     return response_ms - response_start(buzz_ms, lockout)
 

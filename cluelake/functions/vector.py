@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Queries in a block; a block of queries meets a batch of rows in one matrix product.
+BLOCK = 1024
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -15,3 +22,34 @@ def cosine_distance(a: Column, b: Column) -> Column:
     norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
     d = F.when(norm == 0, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1 - dot(a, b) / norm)))
     return F.when(F.size(a) != F.size(b), F.raise_error(F.lit("vectors of different length")).cast("double")).otherwise(d)
+
+
+def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """qid, vec_id, distance, place: the k nearest rows (vec_id, embedding) of each query by cosine distance, ties to the lower id, itself left out.
+
+    Exact: blocks of queries meet all rows, batch by batch, and each batch keeps
+    k candidates for a query; only those are shuffled.
+    """
+    n = F.floor(F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("vec_id"), F.lit(16))).orderBy("vec_id")) / BLOCK)
+    q = queries.withColumn("block", F.struct(F.pmod(F.xxhash64("vec_id"), F.lit(16)), n))
+    blocks = q.groupBy("block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q")).select("q")  # BLOCK queries at most
+
+    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for _, part in b.groupby(b["q"].map(lambda x: x[0]["vec_id"])):
+                q = part["q"].iloc[0]
+                ids, of = part["vec_id"].to_numpy(), np.array([x["vec_id"] for x in q])
+                a, e = np.stack(part["embedding"].to_numpy()).astype(float), np.stack([x["embedding"] for x in q]).astype(float)
+                norm = np.linalg.norm(e, axis=1)[:, None] * np.linalg.norm(a, axis=1)[None, :]
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    d = np.where(norm == 0, 1.0, np.clip(1 - e @ a.T / norm, 0, 1)).round(6)
+                d[of[:, None] == ids[None, :]] = np.inf
+                order = np.lexsort((np.broadcast_to(ids, d.shape), d), axis=1)[:, :k]
+                keep = np.take_along_axis(d, order, 1)
+                out = pd.DataFrame({"qid": np.repeat(of, order.shape[1]), "vec_id": ids[order].ravel(), "distance": keep.ravel()})
+                yield out[np.isfinite(out["distance"])]
+
+    each = rows.join(F.broadcast(blocks)) if queries.count() <= BLOCK else rows.crossJoin(blocks)
+    near = each.mapInPandas(best, "qid long, vec_id long, distance double")
+    w = Window.partitionBy("qid").orderBy("distance", "vec_id")
+    return near.withColumn("place", F.row_number().over(w).cast("long")).filter(F.col("place") <= k)

@@ -61,9 +61,58 @@ def reconcile(mapping: DataFrame, contestants: DataFrame, hosts: list[str]) -> D
     return x.select("episode", "id", "name", F.coalesce("exact", F.when(host, F.col("name")), "held.cname", "match", "name").alias("resolved"))
 
 
-def latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """The last row of each key."""
-    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))).filter("_n = 1").drop("_n")
+def lookup(mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> DataFrame:
+    """episode, variant, name: variants() with the speaker ids and names of a mapping (episode, seq, id, name) that isn't the host's (episode, host).
+
+    A mapped name leads to a contestant by variant, by its first word that is
+    one, or by containment in a name (the first); an id whose name leads to none
+    leads to the mapped name itself. SPEAKER_01 is also s01 and s1. Of equal
+    ids the last counts, of equal names the first.
+    """
+    v = variants(contestants)
+    low = F.lower("name")
+    m = mapping.join(hosts.select("episode", F.lower(F.trim("host")).alias("host")), "episode", "left")
+    m = m.filter(~F.lower(F.trim("name")).eqNullSafe(F.col("host"))).select("episode", "seq", F.lower("id").alias("id"), "name", low.alias("low"))
+    words = F.filter(F.transform(F.split(F.col("low"), r"\s+"), lambda p: F.regexp_replace(p, r"\.+$", "")), lambda p: F.length(p) > 1)
+    tries = m.select("episode", "seq", "id", F.posexplode(F.array_prepend(words, F.col("low"))).alias("i", "variant"))
+    direct = tries.join(v.withColumnRenamed("name", "to"), ["episode", "variant"]).groupBy("episode", "seq", "id").agg(F.min_by("to", "i").alias("direct"))
+    c = contestants.select("episode", F.col("seq").alias("cseq"), F.col("name").alias("cname"))
+    held = m.join(c, "episode").filter(F.lower("cname").contains(F.col("low"))).groupBy("episode", "seq", "id").agg(F.min_by("cname", "cseq").alias("held"))
+    m = m.join(direct, ["episode", "seq", "id"], "left").join(held, ["episode", "seq", "id"], "left").withColumn("to", F.coalesce("direct", "held"))
+    n = F.regexp_extract("id", r"^speaker_(\d+)$", 1)
+    short = F.when(n != "", F.array(F.concat(F.lit("s"), n), F.concat(F.lit("s"), n.try_cast("int").cast("string")), F.concat(F.lit("s"), F.lpad(n.try_cast("int").cast("string"), 2, "0")))).otherwise(F.array().cast("array<string>"))
+    ids = m.select("episode", F.explode(F.array_distinct(F.array_prepend(short, F.col("id")))).alias("variant"), "seq", F.coalesce("to", "name").alias("name"))
+    ids = ids.groupBy("episode", "variant").agg(F.max_by("name", "seq").alias("name"))
+    own = m.filter("to IS NOT NULL").groupBy("episode", F.col("low").alias("variant")).agg(F.min_by("to", "seq").alias("name"))
+    more = own.join(v, ["episode", "variant"], "left_anti").join(ids, ["episode", "variant"], "left_anti")
+    return v.join(ids, ["episode", "variant"], "left_anti").unionByName(ids).unionByName(more)
+
+
+def swept(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> DataFrame:
+    """speakers (episode, speaker) with soft and who: the name by lookup or containment, and the contestant that is left after the sweep.
+
+    soft is the speaker itself where nothing is found. The sweep keeps
+    contestants, drops the host with all ids, takes the nearest contestant by
+    edit distance, and else leaves who null: such an attempt goes. Names of
+    wagers and adjustments take coalesce(who, speaker).
+    """
+    s = speakers.select("episode", "speaker").distinct()
+    found = lookup(mapping, contestants, hosts).withColumnRenamed("name", "by_variant")
+    x = s.withColumn("variant", F.lower("speaker")).join(found, ["episode", "variant"], "left").drop("variant")
+    c = contestants.select("episode", "seq", F.col("name").alias("cname"))
+    inside = x.join(c, "episode", "left").withColumn("inside", F.lower("cname").contains(F.lower("speaker")))
+    x = inside.groupBy("episode", "speaker", "by_variant").agg(F.min_by(F.when(F.col("inside"), F.col("cname")), F.when(F.col("inside"), F.col("seq"))).alias("by_part"))
+    x = x.select("episode", "speaker", F.coalesce("by_variant", "by_part", "speaker").alias("soft"))
+    own = contestants.select("episode", F.lower("name").alias("low"), F.col("name").alias("exact"))
+    host = hosts.select("episode", F.lower(F.trim("host")).alias("low"))
+    of_host = mapping.join(host, "episode").filter(F.lower(F.trim("name")) == F.col("low")).select("episode", F.lower("id").alias("id"))
+    n = F.regexp_extract("id", r"^speaker_(\d+)$", 1)
+    num = n.try_cast("int").cast("string")
+    ids = of_host.select("episode", F.explode(F.when(n != "", F.array(F.col("id"), F.concat(F.lit("s"), n), F.concat(F.lit("s"), num), F.concat(F.lit("s"), F.lpad(num, 2, "0")))).otherwise(F.array("id"))).alias("low"))
+    host = host.union(ids).distinct().withColumn("is_host", F.lit(True))
+    near = fuzzy(x.select("episode", F.col("soft").alias("speaker")).distinct(), contestants).select("episode", F.col("speaker").alias("soft"), "match")
+    x = x.withColumn("low", F.lower("soft")).join(own, ["episode", "low"], "left").join(host, ["episode", "low"], "left").join(near, ["episode", "soft"], "left")
+    return x.select("episode", "speaker", "soft", F.coalesce("exact", F.when(F.col("is_host").isNull(), F.col("match"))).alias("who"))
 
 
 def hosts(episodes: DataFrame, mapping: DataFrame, known: DataFrame, default: str) -> DataFrame:

@@ -52,3 +52,16 @@ def overlaps(clues: DataFrame) -> DataFrame:
     n = F.sum(F.when(F.col("round") == "J!", 1).otherwise(0)).over(Window.partitionBy("episode"))
     x = x.withColumn("n_first", F.least(F.lit(5), n))
     return x.filter(F.when(F.col("round") == "J!", F.col("nth") <= 5).otherwise(F.col("nth") <= F.greatest(F.lit(1), 5 - F.col("n_first")))).drop("n_first")
+
+
+def as_of(left: DataFrame, right: DataFrame, keys: list[str], time: str, value: str) -> DataFrame:
+    """left with the value (not null) of the last row of right at or before its time, within keys.
+
+    One sort of both sides by key and time instead of a join by range; rows of
+    right come first where times are equal.
+    """
+    a = left.withColumns({"_side": F.lit(1), "_v": F.lit(None).cast(right.schema[value].dataType)})
+    b = right.select(*keys, time, F.lit(0).alias("_side"), F.col(value).alias("_v"))
+    w = Window.partitionBy(*keys).orderBy(time, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = a.unionByName(b, allowMissingColumns=True).withColumn(value, F.last("_v", ignorenulls=True).over(w))
+    return both.filter("_side = 1").select(*left.columns, value)

@@ -84,11 +84,13 @@ def running(ev: DataFrame) -> DataFrame:
 
 
 def control(clues: DataFrame, attempts: DataFrame, contestants: DataFrame) -> DataFrame:
-    """episode, pos, holder: who controls the board after each clue; misses leave it."""
+    """episode, pos, before, holder: who controls the board before and after each clue; misses leave it."""
     right = scored_attempts(clues, attempts, contestants).filter("is_correct").select("episode", "pos", F.col("speaker").alias("got"))
     dd = clues.filter(is_dd_branch()).join(attempts.filter("k = 1 AND is_correct").select("episode", "pos"), ["episode", "pos"]).select("episode", "pos", F.col("wagerer").alias("got"))
     w = Window.partitionBy("episode").orderBy("pos")
-    return clues.select("episode", "pos").join(right.unionByName(dd), ["episode", "pos"], "left").select("episode", "pos", F.last("got", ignorenulls=True).over(w).alias("holder"))
+    past = w.rowsBetween(Window.unboundedPreceding, -1)
+    x = clues.select("episode", "pos").join(right.unionByName(dd), ["episode", "pos"], "left")
+    return x.select("episode", "pos", F.last("got", ignorenulls=True).over(past).alias("before"), F.last("got", ignorenulls=True).over(w).alias("holder"))
 
 
 def control_changes(holders: DataFrame) -> DataFrame:

@@ -35,22 +35,28 @@ def warnings(episodes: DataFrame, clues: DataFrame, attempts: DataFrame, contest
         F.count_if((F.col("selection_order") > 3) & (F.col("start_ms") == 0)).alias("v25"),
         F.count_if(F.col("finish_ms") - F.col("start_ms") > 60000).alias("v26"),
     )
+    def emit_each(df: DataFrame, found: list[tuple[str, Column, Column]]) -> None:
+        """Rules (rule, condition, subject) that are told from a row of df alone: one pass for all."""
+        hit = F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(rule).alias("rule"), subject.cast("string").alias("subject"))) for rule, cond, subject in found])
+        x = df.select("episode", F.explode(F.array_compact(hit)).alias("r"))
+        out.append(x.select("episode", "r.rule", "r.subject", F.lit(1.0).alias("weight")))
+
     emit("V1", episodes.join(contestants, "episode", "left_anti"))
     emit("V2", episodes.join(clues, "episode", "left_anti"))
+    by_episode = [("V10", F.expr("dd0 + dd1 > 3"), none), ("V11", F.expr("dd0 > 1"), F.lit(ROUNDS[0])), ("V12", F.expr("dd1 > 2"), F.lit(ROUNDS[1]))]
     for i, (many, zero, few) in enumerate((("V3", "V5", "V6"), ("V4", "V7", "V8"))):
-        emit(many, per.filter(f"n{i} > 30"), F.lit(ROUNDS[i]))
-        emit(zero, per.filter(f"n{i} = 0"), F.lit(ROUNDS[i]))
-        emit(few, per.filter(f"n{i} BETWEEN 1 AND 14"), F.lit(ROUNDS[i]))
+        r = F.lit(ROUNDS[i])
+        by_episode += [(many, F.col(f"n{i}") > 30, r), (zero, F.col(f"n{i}") == 0, r), (few, F.col(f"n{i}").between(1, 14), r)]
+    by_episode += [(v.upper(), F.col(v) > 0, F.col(v)) for v in ("v22", "v23", "v24", "v25", "v26")]
+    emit_each(per, by_episode)
     emit("V9", overlaps(clues.withColumn("seq", F.col("pos"))), F.col("pos"))
-    emit("V10", per.filter("dd0 + dd1 > 3"))
-    emit("V11", per.filter("dd0 > 1"), F.lit(ROUNDS[0]))
-    emit("V12", per.filter("dd1 > 2"), F.lit(ROUNDS[1]))
     tries = attempts.groupBy("episode", "pos").agg(F.count("*").alias("tries"))
     dd = clues.filter("is_dd")
     emit("V13", dd.join(tries.filter("tries > 1"), ["episode", "pos"]), F.col("pos"))
     amount = F.expr("try_cast(wager AS bigint)")
-    emit("V14", dd.filter(amount <= 0), F.col("pos"))
-    emit("V15", dd.filter(amount > 50000), F.col("pos"))
+    on_board = F.col("round").isin(*ROUNDS)
+    of_clue = [("V14", F.col("is_dd") & (amount <= 0)), ("V15", F.col("is_dd") & (amount > 50000)), ("V19", on_board & ~F.col("board_row").between(1, 5)), ("V20", on_board & ~F.col("board_col").between(1, 6))]
+    emit_each(clues, [(rule, cond, F.col("pos")) for rule, cond in of_clue])
     known = contestants.select("episode", strip("who").alias("name")).distinct()
     has_names = clues.select("episode").distinct().join(contestants.select("episode").distinct(), "episode", "left_semi")
 
@@ -60,17 +66,12 @@ def warnings(episodes: DataFrame, clues: DataFrame, attempts: DataFrame, contest
     emit("V16", unknown(attempts, "speaker").select("episode").distinct())
     emit("V17", unknown(finals, "who"), F.col("name"))
     emit("V18", unknown(adjustments, "who"), F.col("name"))
-    board = clues.filter(F.col("round").isin(*ROUNDS))
-    emit("V19", board.filter("board_row NOT BETWEEN 1 AND 5"), F.col("pos"))
-    emit("V20", board.filter("board_col NOT BETWEEN 1 AND 6"), F.col("pos"))
+    board = clues.filter(on_board)
     emit("V21", repeated_rows(board.withColumns({"seq": F.col("pos"), "category": strip("category")})), F.col("pos"), 0.5)
-    for v in ("v22", "v23", "v24", "v25", "v26"):
-        emit(v.upper(), per.filter(f"{v} > 0"), F.col(v))
     early = attempts.join(clues.select("episode", "pos", "start_ms"), ["episode", "pos"]).filter("buzz_ms < start_ms")
     emit("V27", early.groupBy("episode").agg(F.count_distinct("pos").alias("n")), F.col("n"))
     cats = board.groupBy("episode", "round").agg(F.count_distinct(strip("category")).alias("cats"), F.count("*").alias("n"))
-    emit("V28", cats.filter("cats > 6"), F.col("round"))
-    emit("V29", cats.filter("cats < 5 AND n > 15"), F.col("round"))
+    emit_each(cats, [("V28", F.col("cats") > 6, F.col("round")), ("V29", (F.col("cats") < 5) & (F.col("n") > 15), F.col("round"))])
     emit("V30", finals.join(has_names, "episode", "left_semi").groupBy("episode").agg(F.count("*").alias("n")).filter("n = 1"))
     return reduce(DataFrame.unionByName, out)
 

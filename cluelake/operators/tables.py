@@ -118,3 +118,25 @@ def verified(clues: DataFrame, results: DataFrame) -> DataFrame:
         F.when(fix & new_r, F.col("response")).alias("original_response"),
         F.coalesce(ok | (fix & (new_t | new_r)), F.lit(False)).alias("is_verified"),
     )
+
+
+def insert(old: DataFrame, new: DataFrame) -> DataFrame:
+    """old with whole rows of new; columns that one has and the other lacks are an error."""
+    if set(old.columns) != set(new.columns):
+        raise ValueError(f"other columns: {', '.join(sorted(set(old.columns) ^ set(new.columns)))}")
+    return old.unionByName(new)
+
+
+def correction_summary(corrections: DataFrame) -> DataFrame:
+    """One row of counts of corrections (field, correction_type)."""
+    field, kind = F.col("field"), F.col("correction_type")
+    # Names of fields and of kinds of corrections.
+    named = [("clue_text", field == "clue_text"), ("correct_response", field == "correct_response"), ("typo", kind == "typo")]
+    named += [("preamble_stripped", kind == "preamble_stripped"), ("response_fixed", kind == "response_fixed"), ("major", kind == "major")]
+    return corrections.agg(F.count("*").alias("total"), *[F.count_if(F.coalesce(cond, F.lit(False))).alias(f"n_{name}") for name, cond in named])
+
+
+def verified_final(finals: DataFrame, results: DataFrame) -> DataFrame:
+    """finals (episode, response) with the response of a result (episode, r) in its place, whatever that result's status, unless it is null."""
+    x = finals.join(results.select("episode", F.col("r").alias("_r")), "episode", "left")
+    return x.withColumn("response", F.coalesce("_r", "response")).drop("_r")

@@ -9,6 +9,8 @@ from cluelake.functions import text as T
 
 # Markers of the rounds.
 DOUBLE, FINAL = ("double j!", "double jeopardy"), ("final j!", "final jeopardy")
+#: A run of word characters, as the name pattern's word boundaries see them.
+WORD = r"[\p{L}\p{N}_]+"
 
 
 def has(c: Column, markers: tuple[str, ...]) -> Column:
@@ -91,11 +93,56 @@ def tail(segments: DataFrame, n: int = 40) -> DataFrame:
     return segments.withColumn("left", F.max("pos").over(Window.partitionBy("episode")) - F.col("pos")).filter(F.col("left") < n).drop("left")
 
 
-def name_mentions(segments: DataFrame, stop: DataFrame, top: int = 3) -> DataFrame:
-    """episode, name, n, rank: capitalised words that the host says most (the host has most segments), without stop words (word)."""
+def name_mentions(segments: DataFrame, stop: tuple[str, ...] = T.NO_NAMES, top: int = 3) -> DataFrame:
+    """episode, name, n, rank: capitalised words that the host says most (the host has most segments), without stop words."""
     turns = segments.groupBy("episode", "speaker").agg(F.count("*").alias("k"), F.min("pos").alias("p"))
     host = turns.groupBy("episode").agg(F.max_by("speaker", F.struct("k", -F.col("p"))).alias("speaker"))
-    said = segments.join(host, ["episode", "speaker"]).select("episode", "pos", F.posexplode(F.regexp_extract_all("text", F.lit(r"\b([A-Z][a-z]{2,})\b"))).alias("i", "name"))
-    said = said.join(F.broadcast(stop), F.lower(said["name"]) == stop["word"], "left_anti")  # a fixed list
+    names = F.filter(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), lambda w: w.rlike("^[A-Z][a-z]{2,}$"))
+    said = segments.join(host, ["episode", "speaker"]).select("episode", "pos", F.posexplode(names).alias("i", "name"))
+    said = said.filter(~F.col("name").isin(*stop))
     n = said.groupBy("episode", "name").agg(F.count("*").alias("n"), F.min(F.struct("pos", "i")).alias("f"))
     return n.withColumn("rank", F.row_number().over(Window.partitionBy("episode").orderBy(F.desc("n"), "f"))).filter(F.col("rank") <= top).drop("f")
+
+
+def speaker_ids(segments: DataFrame) -> DataFrame:
+    """episode, short, speaker: what an abbreviated speaker stands for; the last one where two are shortened alike."""
+    x = segments.withColumn("short", T.abbreviated(F.col("speaker"))).filter("short <> speaker")
+    return x.groupBy("episode", "short").agg(F.max_by("speaker", "pos").alias("speaker"))
+
+
+def monotonic(segments: DataFrame, slack_ms: float = 500, most: float = 0.02) -> DataFrame:
+    """episode, n, n_back, ok: whether under 2 % of the segments start before the one before them."""
+    back = backwards(segments, slack_ms).groupBy("episode").agg(F.count("*").alias("n_back"))
+    x = segments.groupBy("episode").agg(F.count("*").alias("n")).join(back, "episode", "left").fillna(0, ["n_back"])
+    return x.withColumn("ok", F.col("n_back") < F.col("n") * most)
+
+
+def _joined(window: DataFrame, keys: list[str], line: Column, by: str) -> DataFrame:
+    x = window.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", line.alias("line")))).alias("x"))  # a window's few segments
+    return x.select(*keys, F.array_join(F.transform("x", lambda s: s["line"]), by).alias("joined"))
+
+
+def clue_context(clues: DataFrame, segments: DataFrame, before: int = 3, after: int = 8) -> DataFrame:
+    """clues (episode, first, last: positions) with context: the lines around, with marks where the clue starts and ends."""
+    mark = F.concat(F.when(F.col("pos") == F.col("first"), " ◄ CLUE START").otherwise(""), F.when(F.col("pos") == F.col("last"), " ◄ CLUE END").otherwise(""))
+    line = F.concat(F.lit("L"), F.col("pos").cast("string"), F.lit(" ["), F.coalesce("speaker", F.lit("?")), F.lit("]: "), T.stripped(F.coalesce("text", F.lit(""))), mark)
+    s = segments.select("episode", "pos", "speaker", "text")
+    x = clues.select("episode", "first", "last").distinct().join(s, "episode").filter(F.col("pos").between(F.col("first") - before, F.col("last") + after))
+    return _joined(x, ["episode", "first", "last"], line, "\n").withColumnRenamed("joined", "context")
+
+
+def spliced(clues: DataFrame, segments: DataFrame, least: int = 10) -> DataFrame:
+    """clues (episode, key, first, last, said, category) with text: what was said, if it has ten characters or more, else the segments' text without its preamble."""
+    s = segments.select("episode", "pos", "text")
+    x = clues.select("episode", "key", "first", "last").join(s, "episode").filter(F.col("pos").between(F.col("first"), F.col("last")))
+    x = _joined(x, ["episode", "key"], F.col("text"), " ")
+    own = T.stripped(F.coalesce("said", F.lit("")))
+    heard = T.without_preamble(T.stripped(F.coalesce("joined", F.lit(""))), F.col("category"))
+    return clues.join(x, ["episode", "key"], "left").withColumn("text", F.when(F.length(own) >= least, own).otherwise(heard)).drop("joined")
+
+
+def selection_context(clues: DataFrame, segments: DataFrame, before: int = 2) -> DataFrame:
+    """clues (episode, key, first) with announced: the text of up to two segments before and of the first one; null at the transcript's start."""
+    s = segments.select("episode", "pos", "text")
+    x = clues.filter("first > 0").select("episode", "key", "first").join(s, "episode").filter(F.col("pos").between(F.col("first") - before, F.col("first")))
+    return clues.join(_joined(x, ["episode", "key"], F.col("text"), " ").withColumnRenamed("joined", "announced"), ["episode", "key"], "left")

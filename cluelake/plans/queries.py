@@ -2,33 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cluelake.functions import board, recover, text, timing, vector
 from cluelake.operators import names, ordered, replay, rules, tables, transcript
 from cluelake.plans.bindings import oracle, sql, view
+from cluelake.plans.registry import ORACLES, QUERIES, query
 from cluelake.plans.reports import IN_DUCKDB, REPORTS
 from cluelake.sources.io import load_table
 from cluelake.streaming import queue, windows
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(duckdb: str | None = None):
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if duckdb:
-            ORACLES[f.__name__] = oracle(duckdb)
-        return f
-
-    return add
-
-
 for _name, _text in REPORTS.items():
     QUERIES[_name] = lambda s, d, t=_text: sql(s, d, t)
     ORACLES[_name] = oracle(_text.replace(*IN_DUCKDB.get(_name, ("", ""))))
@@ -92,10 +76,11 @@ def first_correct_cutoff(s, d):
 
 
 _HOLDER = """got AS (SELECT episode, pos, speaker AS g FROM scored WHERE is_correct UNION ALL SELECT episode, pos, wagerer FROM known WHERE dd AND k = 1 AND is_correct),
-hold AS (SELECT c.episode, c.pos, last_value(g.g IGNORE NULLS) OVER (PARTITION BY c.episode ORDER BY c.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS holder FROM {clues} c LEFT JOIN got g ON g.episode = c.episode AND g.pos = c.pos)"""
+hold AS (SELECT c.episode, c.pos, last_value(g.g IGNORE NULLS) OVER (PARTITION BY c.episode ORDER BY c.pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+  last_value(g.g IGNORE NULLS) OVER (PARTITION BY c.episode ORDER BY c.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS holder FROM {clues} c LEFT JOIN got g ON g.episode = c.episode AND g.pos = c.pos)"""
 
 
-@query(f"WITH RECURSIVE {_EVENTS}, {_HOLDER} SELECT episode, pos, holder FROM hold")
+@query(f"WITH RECURSIVE {_EVENTS}, {_HOLDER} SELECT episode, pos, before, holder FROM hold")
 def board_control(s, d):
     g = _game(s, d)
     return replay.control(g["clues"], g["attempts"], g["contestants"])
@@ -106,8 +91,8 @@ def control_changes(s, d):
     return replay.control_changes(board_control(s, d))
 
 
-@query(f"""WITH RECURSIVE {_EVENTS} SELECT c.episode, c.who, coalesce(a.buzzes, 0)::BIGINT AS buzzes, coalesce(a.n_right, 0)::BIGINT AS n_right,
- coalesce(b.score, 0)::BIGINT AS before_final, f.wager::BIGINT AS final_wager, coalesce(z.score, 0)::BIGINT AS final_score FROM {{contestants}} c
+@query(f"""WITH RECURSIVE {_EVENTS} SELECT c.episode, c.who, coalesce(a.buzzes, 0)::BIGINT AS buzzes, coalesce(a.n_right, 0)::BIGINT AS n_right, round(100.0::DOUBLE * a.n_right / a.buzzes, 4) AS accuracy,
+ row_number() OVER (PARTITION BY c.episode ORDER BY coalesce(z.score, 0) DESC, c.who) AS place, coalesce(b.score, 0)::BIGINT AS before_final, f.wager::BIGINT AS final_wager, coalesce(z.score, 0)::BIGINT AS final_score FROM {{contestants}} c
  LEFT JOIN (SELECT episode, speaker, count(*) AS buzzes, count_if(is_correct) AS n_right FROM {{attempts}} GROUP BY episode, speaker) a ON a.episode = c.episode AND a.speaker = c.who
  LEFT JOIN (SELECT episode, who, max_by(score, n) AS score FROM fold WHERE pos < 1000000 GROUP BY episode, who) b ON b.episode = c.episode AND b.who = c.who
  LEFT JOIN (SELECT episode, who, max_by(score, n) AS score FROM fold GROUP BY episode, who) z ON z.episode = c.episode AND z.who = c.who
@@ -116,11 +101,13 @@ def contestant_matrix(s, d):
     g = _game(s, d)
     ev = replay.events(**g)
     key = ["episode", "who"]
+    by_score = Window.partitionBy("episode").orderBy(F.desc("final_score"), "who")
     tries = g["attempts"].groupBy("episode", F.col("speaker").alias("who")).agg(F.count("*").alias("buzzes"), F.count_if("is_correct").alias("n_right"))
     pre = replay.scores(ev.filter(F.col("pos") < replay.LAST), g["contestants"]).select(*key, F.col("final_score").alias("before_final"))
     x = g["contestants"].select(*key).join(tries, key, "left").join(pre, key).join(replay.scores(ev, g["contestants"]).select(*key, "final_score"), key)
     x = x.join(g["finals"].select(*key, F.col("wager").cast("long").alias("final_wager")), key, "left")
-    return x.select(*key, F.coalesce("buzzes", F.lit(0)).alias("buzzes"), F.coalesce("n_right", F.lit(0)).alias("n_right"), "before_final", "final_wager", "final_score")
+    x = x.withColumns({"accuracy": F.round(100.0 * F.col("n_right") / F.col("buzzes"), 4), "place": F.row_number().over(by_score).cast("long")})
+    return x.select(*key, F.coalesce("buzzes", F.lit(0)).alias("buzzes"), F.coalesce("n_right", F.lit(0)).alias("n_right"), "accuracy", "place", "before_final", "final_wager", "final_score")
 
 
 # ---------------------------------------------------------------- order, rows, rules
@@ -264,22 +251,22 @@ def line_lookup(s, d):
     return transcript.at_line(want, seg, "want", "seg").select("episode", "line", "seg_start", "seg_end")
 
 
-@query("""WITH turns AS (SELECT episode, speaker, count(*) AS k, min(pos) AS p FROM {segments} GROUP BY episode, speaker), host AS (SELECT episode, speaker FROM (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY k DESC, p) AS r FROM turns) x WHERE r = 1),
- said AS (SELECT s.episode, s.pos, unnest(regexp_extract_all(s.text, '\\b([A-Z][a-z]{2,})\\b', 1)) AS name, generate_subscripts(regexp_extract_all(s.text, '\\b([A-Z][a-z]{2,})\\b', 1), 1) AS i FROM {segments} s JOIN host h ON h.episode = s.episode AND h.speaker = s.speaker),
- n AS (SELECT episode, name, count(*) AS n, min(pos * 100000 + i) AS f FROM said WHERE lower(name) NOT IN ('the', 'and', 'that') GROUP BY episode, name)
- SELECT episode, name, n, r AS rank FROM (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY n DESC, f) AS r FROM n) x WHERE r <= 3""")
-def name_mentions(s, d):
-    seg = view(s, d, "segments").filter(F.length("text") == F.octet_length("text"))
-    stop = s.createDataFrame([("the",), ("and",), ("that",)], "word string")
-    return transcript.name_mentions(seg, stop).withColumn("rank", F.col("rank").cast("long"))
+_STOP = ", ".join(f"'{w}'" for w in text.NO_NAMES)
 
 
-ORACLES["name_mentions"] = ORACLES["name_mentions"].replace("FROM conversations)", "FROM conversations WHERE length(text) = strlen(text))")
+@query(f"""WITH turns AS (SELECT episode, speaker, count(*) AS k, min(pos) AS p FROM {{segments}} GROUP BY episode, speaker), host AS (SELECT episode, speaker FROM (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY k DESC, p) AS r FROM turns) x WHERE r = 1),
+ w AS (SELECT s.episode, s.pos, list_filter(regexp_extract_all(s.text, '[\\p{{{{L}}}}\\p{{{{N}}}}_]+'), lambda x: regexp_matches(x, '^[A-Z][a-z]{{2,}}$')) AS w FROM {{segments}} s JOIN host h ON h.episode = s.episode AND h.speaker = s.speaker),
+ said AS (SELECT episode, pos, unnest(w) AS name, generate_subscripts(w, 1) AS i FROM w),
+ n AS (SELECT episode, name, count(*) AS n, row_number() OVER (PARTITION BY episode ORDER BY count(*) DESC, min(pos), min_by(i, pos * 1000000.0 + i)) AS r FROM said WHERE name NOT IN ({_STOP}) GROUP BY episode, name)
+ SELECT episode, name, n, r AS rank FROM n WHERE r <= 3""")
+def name_mentions(s, d):
+    return transcript.name_mentions(view(s, d, "segments")).withColumn("rank", F.col("rank").cast("long"))
+
 
 # ---------------------------------------------------------------- texts and values
 
-_SELECTION = "concat(CASE doc_id % 4 WHEN 0 THEN 'Trees for $' WHEN 1 THEN 'Let''s go with that for ' WHEN 2 THEN 'my score is $' ELSE 'I take $' END, CAST((doc_id % 24) * 100 AS VARCHAR(20)), '. ', substring(text, 1, 40))"
-_WORDS_IN = "(?i)(?:wager|wagered|wagers|score|scores|now\\s+has|has\\s+\\$|leads?\\s+with|total|behind|ahead|trailing|worth|if\\s+you(?:''re|\\s+are)\\s+(?:right|correct))"
+_SELECTION = "concat(CASE doc_id % 4 WHEN 0 THEN 'Trees for $' WHEN 1 THEN 'Let''s go with that for ' WHEN 2 THEN 'my score is $' ELSE 'I take $' END, CAST((doc_id % 24) * 100 AS VARCHAR(20)), '. ', text)"
+_WORDS_IN = text.SCORE_CONTEXT.replace("'", "''")
 _VALUES = ", ".join(map(str, text.CLUE_VALUES))
 
 
@@ -307,7 +294,7 @@ def board_format(s, d):
     return x.select("doc_id", board.board_format(F.col("x")).alias("format"))
 
 
-_PRE = r"(?i)^(?:(?:.*?)\bfor\s+\$?[\d,]+\.?\s+|(?:Let''?s\s+(?:stick\s+with|go\s+(?:with|to|back\s+to)|try|do)\s+.*?)\bfor\s+\$?[\d,]+\.?\s+|(?:One\s+more\s+time,?\s+we\s+have\s+.*?\.)\s+)"
+_PRE = text.PREAMBLE.replace("'", "''")
 
 
 @query(f"""WITH t AS (SELECT doc_id, {_SELECTION} AS x, CASE WHEN doc_id % 8 = 0 THEN 'trees' ELSE 'zzz' END AS cat FROM {{documents}}),
@@ -328,10 +315,11 @@ def response_form(s, d):
     return x.select("c_custkey", text.question_form(F.col("a")).alias("question"))
 
 
-@query("""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) AS w FROM {documents}), c AS (SELECT doc_id, w, len(regexp_extract_all(w, '[aeiouy]+')) AS n FROM w)
- SELECT doc_id, sum(greatest(1, n - CASE WHEN n > 1 AND ends_with(w, 'e') AND NOT ends_with(w, 'le') THEN 1 ELSE 0 END))::BIGINT AS syllables FROM c GROUP BY doc_id""")
+@query("""WITH w AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) AS w FROM {documents}), c AS (SELECT doc_id, w, len(regexp_extract_all(w, '[aeiouy]+')) AS n FROM w),
+ t AS (SELECT doc_id, sum(greatest(1, n - CASE WHEN n > 1 AND ends_with(w, 'e') AND NOT ends_with(w, 'le') THEN 1 ELSE 0 END))::BIGINT AS k FROM c GROUP BY doc_id)
+ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k, 1) END AS syllables FROM {documents} d LEFT JOIN t ON t.doc_id = d.doc_id""")
 def syllable_counts(s, d):
-    return load_table(s, d, "documents").filter("trim(text) <> ''").select("doc_id", text.syllables(F.col("text")).cast("long").alias("syllables"))
+    return load_table(s, d, "documents").select("doc_id", text.syllables(F.col("text")).cast("long").alias("syllables"))
 
 
 _WAGER = "CASE o_orderkey % 5 WHEN 0 THEN 'True Daily Double' WHEN 1 THEN CAST(o_custkey AS VARCHAR(20)) WHEN 2 THEN 'all of it' WHEN 3 THEN NULL ELSE ' 500 ' END"
@@ -375,14 +363,11 @@ def cosine_pairs(s, d):
     return e.join(b, "vec_id").select("vec_id", F.round(vector.cosine_distance(F.col("embedding"), F.col("other")), 6).alias("distance"))
 
 
-@query("""WITH q AS (SELECT vec_id AS qid, label, embedding::DOUBLE[] AS e FROM {embeddings} WHERE vec_id % 50 = 0), x AS (SELECT qid, b.vec_id, round(least(1, greatest(0, 1 - list_cosine_similarity(q.e, b.embedding::DOUBLE[]))), 6) AS distance FROM q JOIN {embeddings} b ON b.label = q.label AND b.vec_id <> q.qid)
+@query("""WITH q AS (SELECT vec_id AS qid, embedding::DOUBLE[] AS e FROM {embeddings} WHERE vec_id % 50 = 0), x AS (SELECT qid, b.vec_id, round(least(1, greatest(0, 1 - list_cosine_similarity(q.e, b.embedding::DOUBLE[]))), 6) AS distance FROM q JOIN {embeddings} b ON b.vec_id <> q.qid)
  SELECT qid, vec_id, distance, place FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY distance, vec_id) AS place FROM x) y WHERE place <= 5""")
 def knn_topk(s, d):
-    e = load_table(s, d, "embeddings")
-    q = e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), "label", F.col("embedding").alias("q"))
-    x = e.join(q, "label").filter("vec_id <> qid").select("qid", "vec_id", F.round(vector.cosine_distance(F.col("q"), F.col("embedding")), 6).alias("distance"))
-    w = Window.partitionBy("qid").orderBy("distance", "vec_id")
-    return x.withColumn("place", F.row_number().over(w).cast("long")).filter("place <= 5")
+    e = load_table(s, d, "embeddings").select("vec_id", "embedding")
+    return vector.nearest(e.filter("vec_id % 50 = 0"), e, 5)
 
 
 _SOUND = """WITH w AS (SELECT user_id AS episode, CASE event_id % 5 WHEN 0 THEN 'Um,' WHEN 1 THEN 'uh' ELSE event_type END AS word, (event_id % 100)::DOUBLE AS s, (event_id % 100 + 1)::DOUBLE AS e, ((event_id % 7) / 8)::DOUBLE AS p FROM {events}),
@@ -410,12 +395,17 @@ def token_cost(s, d):
 # ---------------------------------------------------------------- names
 
 
-@query("""WITH p AS (SELECT n_regionkey AS episode, n_nationkey AS seq, n_name AS name FROM {nation}), s AS (SELECT n_regionkey AS episode, substring(n_name, 2) AS speaker FROM {nation} WHERE length(n_name) > 3),
- x AS (SELECT s.episode, s.speaker, p.name, levenshtein(lower(s.speaker), lower(p.name)) AS d, p.seq FROM s JOIN p ON p.episode = s.episode)
- SELECT episode, speaker, CASE WHEN min(d) <= 3 THEN min_by(name, d * 1000 + seq) END AS match, CASE WHEN min(d) <= 3 THEN min(d) END::INT AS distance FROM x GROUP BY episode, speaker""")
+_FIVE = "SELECT c_custkey // 5 AS episode, c_custkey AS seq, c_name AS name FROM {customer}"
+_FIVE_IN_SPARK = _FIVE.replace(" // ", " DIV ")
+
+
+@query(f"""WITH p AS ({_FIVE}), s AS (SELECT episode, seq, CASE seq % 3 WHEN 0 THEN substring(name, 2) WHEN 1 THEN upper(name) || 'x' ELSE 'zzzzzzzzzzzzzzzzzzzzzzzzzz' END AS speaker FROM p),
+ x AS (SELECT s.episode, s.speaker, p.name, levenshtein(lower(s.speaker), lower(p.name)) AS d, row_number() OVER (PARTITION BY s.episode, s.speaker, s.seq ORDER BY levenshtein(lower(s.speaker), lower(p.name)), p.seq) AS r FROM s JOIN p ON p.episode = s.episode)
+ SELECT DISTINCT episode, speaker, CASE WHEN d <= 3 THEN name END AS match, CASE WHEN d <= 3 THEN d END::INT AS distance FROM x WHERE r = 1""")
 def name_fuzzy(s, d):
-    people = sql(s, d, "SELECT n_regionkey AS episode, n_nationkey AS seq, n_name AS name FROM {nation}")
-    return names.fuzzy(sql(s, d, "SELECT n_regionkey AS episode, substring(n_name, 2) AS speaker FROM {nation} WHERE length(n_name) > 3"), people)
+    people = sql(s, d, _FIVE_IN_SPARK)
+    speaker = F.expr("CASE seq % 3 WHEN 0 THEN substring(name, 2) WHEN 1 THEN upper(name) || 'x' ELSE 'zzzzzzzzzzzzzzzzzzzzzzzzzz' END")
+    return names.fuzzy(people.select("episode", speaker.alias("speaker")).distinct(), people)
 
 
 _PEOPLE = "SELECT c_nationkey AS episode, c_custkey AS seq, concat(CASE c_custkey % 3 WHEN 0 THEN 'Ann ' WHEN 1 THEN 'Bo ' ELSE 'Cy ' END, 'L', CAST(c_custkey AS VARCHAR(20))) AS name FROM {customer}"
@@ -427,36 +417,41 @@ def name_parts_unique(s, d):
     return names.variants(sql(s, d, _PEOPLE))
 
 
-@query("""WITH a AS (SELECT n_regionkey AS episode, CASE n_nationkey % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN substring(n_name, 1, 4) ELSE 'xqxqxqxqxq' END AS speaker, n_nationkey AS k FROM {nation}), p AS (SELECT n_regionkey AS episode, n_nationkey AS seq, n_name AS name FROM {nation}),
- u AS (SELECT DISTINCT episode, speaker FROM a), x AS (SELECT u.episode, u.speaker, min_by(name, seq) FILTER (WHERE lower(name) = lower(speaker)) AS e, min_by(name, seq) FILTER (WHERE contains(lower(name), lower(speaker))) AS c, min_by(name, levenshtein(lower(speaker), lower(name)) * 1000 + seq) FILTER (WHERE levenshtein(lower(speaker), lower(name)) <= 3) AS f FROM u JOIN p ON p.episode = u.episode GROUP BY u.episode, u.speaker)
- SELECT a.episode, a.speaker, a.k, coalesce(x.e, x.c, x.f) AS who FROM a JOIN x ON x.episode = a.episode AND x.speaker = a.speaker WHERE coalesce(x.e, x.c, x.f) IS NOT NULL""")
+_SAID = "CASE seq % 5 WHEN 0 THEN lower(name) WHEN 1 THEN substring(name, 10, 8) WHEN 2 THEN 'xqxqxqxqxqxqxqxqxqxqxqxqxq' WHEN 3 THEN name || '!' ELSE name || '?' END"
+
+
+@query(f"""WITH p AS ({_FIVE}), a AS (SELECT episode, seq AS k, {_SAID} AS speaker, seq % 5 = 3 AS is_host FROM p),
+ x AS (SELECT a.episode, a.speaker, a.k, a.is_host, min_by(name, seq) FILTER (WHERE lower(name) = lower(speaker)) AS e, min_by(name, seq) FILTER (WHERE contains(lower(name), lower(speaker))) AS c FROM a JOIN p ON p.episode = a.episode GROUP BY a.episode, a.speaker, a.k, a.is_host),
+ f AS (SELECT a.episode, a.speaker, a.k, name, levenshtein(lower(speaker), lower(name)) AS d, row_number() OVER (PARTITION BY a.episode, a.k ORDER BY levenshtein(lower(speaker), lower(name)), p.seq) AS r FROM a JOIN p ON p.episode = a.episode)
+ SELECT x.episode, x.speaker, x.k, coalesce(e, c, CASE WHEN d <= 3 AND NOT is_host THEN name END) AS who FROM x JOIN f ON f.episode = x.episode AND f.k = x.k AND f.r = 1 WHERE coalesce(e, c, CASE WHEN d <= 3 AND NOT is_host THEN name END) IS NOT NULL""")
 def name_resolve(s, d):
-    a = sql(s, d, "SELECT n_regionkey AS episode, CASE n_nationkey % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN substring(n_name, 1, 4) ELSE 'xqxqxqxqxq' END AS speaker, n_nationkey AS k FROM {nation}")
-    people = sql(s, d, "SELECT n_regionkey AS episode, n_nationkey AS seq, replace(n_name, ' ', '') AS name, n_name FROM {nation}").select("episode", "seq", F.col("n_name").alias("name"))
-    hosts = s.createDataFrame([], f"episode {people.schema['episode'].dataType.simpleString()}, speaker string")
+    people = sql(s, d, _FIVE_IN_SPARK)
+    a = people.select("episode", F.expr(_SAID).alias("speaker"), F.col("seq").alias("k"))
+    hosts = a.filter("k % 5 = 3").select("episode", "speaker").distinct()
     return names.resolve(a, people, hosts).select("episode", "speaker", "k", "who")
 
 
 # ---------------------------------------------------------------- tables and queue
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey * 100000 + l_suppkey DESC, l_quantity DESC) AS n FROM {lineitem}) x WHERE n = 1")
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS n FROM {lineitem}) x WHERE n = 1)
+ SELECT * FROM n UNION ALL SELECT o_orderkey, 1, o_custkey, 0 FROM {orders} WHERE NOT EXISTS (SELECT 1 FROM n WHERE l_orderkey = o_orderkey AND l_linenumber = 1)""")
 def upsert_latest(s, d):
-    x = load_table(s, d, "lineitem").withColumn("_seq", F.struct((F.col("l_partkey") * 100000 + F.col("l_suppkey")), "l_quantity"))
-    old = x.filter("l_linenumber > 4").drop("_seq").limit(0)
-    return tables.upsert(old, x, ["l_orderkey", "l_linenumber"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    new = load_table(s, d, "lineitem").withColumn("_seq", F.struct("l_partkey", "l_suppkey", "l_quantity")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "_seq")
+    old = load_table(s, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(1).alias("l_linenumber"), F.col("o_custkey").alias("l_partkey"), F.lit(0).cast("long").alias("l_suppkey"))
+    return tables.upsert(old, new, ["l_orderkey", "l_linenumber"])
 
 
-@query("SELECT doc_id, quality FROM {labels} UNION ALL SELECT doc_id, -1 FROM {documents} d WHERE doc_id % 3 = 0 AND NOT EXISTS (SELECT 1 FROM {labels} l WHERE l.doc_id = d.doc_id)")
+@query("SELECT doc_id, quality FROM {labels} UNION ALL SELECT doc_id, -1 FROM {documents} d WHERE NOT EXISTS (SELECT 1 FROM {labels} l WHERE l.doc_id = d.doc_id)")
 def insert_ignore(s, d):
     old = load_table(s, d, "labels").select("doc_id", "quality")
-    new = load_table(s, d, "documents").filter("doc_id % 3 = 0").select("doc_id", F.lit(-1).cast(old.schema["quality"].dataType).alias("quality"))
+    new = load_table(s, d, "documents").select("doc_id", F.lit(-1).cast(old.schema["quality"].dataType).alias("quality"))
     return tables.insert_ignore(old, new, ["doc_id"])[0]
 
 
-@query("SELECT c_custkey, round(c_acctbal + coalesce(t, 0), 2) AS c_acctbal FROM {customer} LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS t FROM {orders} WHERE o_orderkey % 2 = 0 GROUP BY o_custkey) o ON o_custkey = c_custkey")
+@query("SELECT c_custkey, round(c_acctbal + coalesce(t, 0), 2) AS c_acctbal FROM {customer} LEFT JOIN (SELECT o_custkey, sum(o_totalprice) AS t FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey")
 def additive_update(s, d):
-    deltas = load_table(s, d, "orders").filter("o_orderkey % 2 = 0").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"))
+    deltas = load_table(s, d, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_totalprice").alias("c_acctbal"))
     return tables.add(load_table(s, d, "customer").select("c_custkey", "c_acctbal"), deltas, "c_custkey").select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"))
 
 
@@ -467,26 +462,27 @@ def partial_update(s, d):
     return tables.patch(c, change, "c_custkey")
 
 
-@query("WITH c AS (SELECT conv_id AS episode, turn AS idx, text, role AS response FROM {conversations}), r AS (SELECT *, CASE idx % 4 WHEN 0 THEN 'corrected' WHEN 1 THEN 'verified' ELSE 'unverifiable' END AS st, CASE WHEN idx % 2 = 0 THEN upper(text) ELSE substring(text, 1, 30) END AS t FROM c) SELECT episode, idx, CASE WHEN (st = 'corrected' AND t <> text) OR (st = 'verified' AND length(t) >= 10 AND length(t) < length(text) AND t <> text) THEN t ELSE text END AS text, CASE WHEN st = 'corrected' AND response <> 'x' THEN 'x' ELSE response END AS response, CASE WHEN st = 'corrected' AND response <> 'x' THEN response END AS original_response, st IN ('corrected', 'verified') AS is_verified FROM r")
+@query("""WITH c AS (SELECT conv_id AS episode, turn AS idx, text, role AS response FROM {conversations}),
+ r AS (SELECT *, CASE idx % 4 WHEN 0 THEN 'corrected' WHEN 1 THEN 'verified' ELSE 'unverifiable' END AS st, CASE WHEN idx % 2 = 0 THEN text || '!' ELSE substring(text, 1, 30) END AS t FROM c)
+ SELECT episode, idx, CASE WHEN (st = 'corrected' AND t <> text) OR (st = 'verified' AND length(t) >= 10 AND length(t) < length(text) AND t <> text) THEN t ELSE text END AS text, CASE WHEN st = 'corrected' AND response <> 'x' THEN 'x' ELSE response END AS response,
+ CASE WHEN st = 'corrected' AND response <> 'x' THEN response END AS original_response, st IN ('corrected', 'verified') AS is_verified FROM r""")
 def verify_merge(s, d):
-    c = sql(s, d, "SELECT conv_id AS episode, turn AS idx, text, role AS response FROM {conversations} WHERE length(text) = octet_length(text)")  # upper() of other letters differs
+    c = sql(s, d, "SELECT conv_id AS episode, turn AS idx, text, role AS response FROM {conversations}")
     i = F.col("idx") % 4
-    r = c.select("episode", "idx", F.when(i == 0, "corrected").when(i == 1, "verified").otherwise("unverifiable").alias("status"), F.when(F.col("idx") % 2 == 0, F.upper("text")).otherwise(F.substring("text", 1, 30)).alias("text"), F.lit("x").alias("response"))
+    r = c.select("episode", "idx", F.when(i == 0, "corrected").when(i == 1, "verified").otherwise("unverifiable").alias("status"), F.when(F.col("idx") % 2 == 0, F.concat("text", F.lit("!"))).otherwise(F.substring("text", 1, 30)).alias("text"), F.lit("x").alias("response"))
     return tables.verified(c, r)
 
 
-ORACLES["verify_merge"] = ORACLES["verify_merge"].replace("FROM conversations)", "FROM conversations WHERE length(text) = strlen(text))")
-
-
 @query("SELECT id, CASE WHEN n = 1 THEN 'TRANSCRIBING' ELSE status END AS status FROM (SELECT *, CASE WHEN status = 'PENDING' THEN row_number() OVER (PARTITION BY status ORDER BY created_at, id) END AS n FROM {queue}) x")
 def claim_oldest(s, d):
     return queue.claim(view(s, d, "queue"), "PENDING", "TRANSCRIBING")[0].select("id", "status")
 
 
-@query("SELECT id, CASE WHEN id % 2 = 1 THEN status WHEN retry_count >= 3 THEN 'FAILED' ELSE 'PENDING' END AS status, CASE WHEN id % 2 = 0 AND retry_count < 3 THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN id % 2 = 0 THEN 500 END AS error_chars FROM {queue}")
+@query("""SELECT id, CASE WHEN status <> 'TRANSCRIBING' THEN status WHEN retry_count >= 3 THEN 'FAILED' ELSE 'PENDING' END AS status,
+ CASE WHEN status = 'TRANSCRIBING' AND retry_count < 3 THEN retry_count + 1 ELSE retry_count END AS retry_count, CASE WHEN status = 'TRANSCRIBING' THEN 500 END AS error_chars FROM {queue}""")
 def retry_fold(s, d):
     q = view(s, d, "queue")
-    f = q.filter("id % 2 = 0").select("id", F.lit("PENDING").alias("previous_status"), F.repeat(F.lit("e"), F.lit(600)).alias("error"))
+    f = q.filter("status = 'TRANSCRIBING'").select("id", F.lit("PENDING").alias("previous_status"), F.repeat(F.lit("e"), F.lit(600)).alias("error"))
     return queue.failed(q, f).select("id", "status", "retry_count", F.length("last_error").alias("error_chars"))
 
 
@@ -531,24 +527,27 @@ def session_events(s, d):
     return windows.sessions(load_table(s, d, "events"), "2 hours", ["user_id"])
 
 
-@query("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM {events} GROUP BY event_type")
-def stream_ingest_available_now(s, d):
-    schema = load_table(s, d, "events").schema
-    stream = s.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{d}/events.parquet*")
-    agg = stream.groupBy("event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    q = agg.writeStream.outputMode("complete").format("memory").queryName("ingested_events").trigger(availableNow=True).start()
-    q.awaitTermination()
-    return s.table("ingested_events")
-
-
-@query(None)
+@query("SELECT conv_id, turn, 1 AS n FROM {conversations}")
 def json_repair(s, d):
     x = load_table(s, d, "conversations").select("conv_id", "turn", F.to_json(F.struct("role", "text")).alias("j"))
     cut = F.concat(F.lit('{"clues": ['), "j", F.lit(", "), F.substring("j", F.lit(1), (F.length("j") / 2).cast("int")))
     return x.select("conv_id", "turn", F.size(F.from_json(recover.repaired_json(cut), "clues array<struct<role:string,text:string>>")["clues"]).alias("n"))
 
 
-@query("SELECT c_custkey, c_name AS name FROM {customer}")
+@query("SELECT c_custkey, 'Ann ' || chr((65 + c_custkey % 26)::INT) || 'x' AS name FROM {customer}")
 def speaker_map_parse(s, d):
-    x = load_table(s, d, "customer").select("c_custkey", "c_name", F.concat(F.lit("{'SPEAKER_00': '"), "c_name", F.lit("'}")).alias("t"))
-    return x.select("c_custkey", recover.parsed_speaker_map(F.col("t"))["SPEAKER_00"].alias("name"))
+    name = F.concat(F.lit("Ann "), F.chr(65 + F.col("c_custkey") % 26), F.lit("x"))
+    shapes = [
+        F.concat(F.lit('{"SPEAKER_00": "'), "name", F.lit('"}')),
+        F.concat(F.lit("{'SPEAKER_00': '"), "name", F.lit("'}")),
+        F.concat(F.lit('{"mapping": {"SPEAKER_00": "'), "name", F.lit('"}, "host": "x"}')),
+        F.concat(F.lit('[{"speaker": "SPEAKER_00", "name": "'), "name", F.lit('"}]')),
+        F.concat(F.lit("The speakers are\nSPEAKER_00 -> "), "name", F.lit("\nand nobody else")),
+        F.concat(F.lit('[{"speaker": "SPEAKER_09", "text": "Ann '), F.substring("name", 5, 9), F.lit('"}, {"speaker": "SPEAKER_09", "text": "and so on"}, {"speaker": "SPEAKER_00", "name": "'), "name", F.lit('"}]')),
+    ]
+    x = load_table(s, d, "customer").select("c_custkey", name.alias("name"))
+    t = F.array(*shapes)[(F.col("c_custkey") % len(shapes)).cast("int")]
+    return x.select("c_custkey", recover.parsed_speaker_map(t)["SPEAKER_00"].alias("name"))
+
+
+from cluelake.plans import assembly, extra, relational  # noqa: E402, F401  they add to the register

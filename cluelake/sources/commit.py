@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,29 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the folder named in spark.checkpoint.dir, which driver and executors share; removed at the end.
+
+    Where that is unset, a temporary folder serves a local session; on a cluster it is an error.
+    """
+    top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir isn't set")
+        top = f"file://{tempfile.mkdtemp(prefix='cluelake-')}"
+    path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    except Exception:  # the session has ended already
+        pass
+
+
 def write_batch(tables: dict[str, DataFrame], folder: str, batch: str) -> bool:
     """Writes all tables of a batch, or none: to a staging folder, which is renamed when every table is complete. False if the batch is there already."""
     spark = next(iter(tables.values())).sparkSession

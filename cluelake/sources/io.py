@@ -19,10 +19,22 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _segments(x: DataFrame, *first) -> DataFrame:
+    """pos, speaker, text, start_ms, end_ms, words of the segments s; a missing text is empty, a missing time 0."""
+    ms = lambda c: (F.coalesce(c, F.lit(0.0)) * 1000)
+    return x.select(*first, F.col("pos").cast("long").alias("pos"), "s.speaker", F.coalesce("s.text", F.lit("")).alias("text"), ms("s.start").alias("start_ms"), ms("s.end").alias("end_ms"), "s.words")
+
+
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     """episode, pos, speaker, text, start_ms, end_ms of gzipped or plain JSON transcripts, one document a file."""
     x = spark.read.schema(TRANSCRIPT).json(path, multiLine=True).select(F.col("_metadata.file_name").alias("f"), F.posexplode_outer("transcript.segments").alias("pos", "s"))
-    return x.select(episode_id(F.regexp_replace("f", r"\.gz$", "")).alias("episode"), F.col("pos").cast("long").alias("pos"), "s.speaker", F.coalesce("s.text", F.lit("")).alias("text"), (F.coalesce("s.start", F.lit(0.0)) * 1000).alias("start_ms"), (F.coalesce("s.end", F.lit(0.0)) * 1000).alias("end_ms"), "s.words")
+    return _segments(x, episode_id(F.regexp_replace("f", r"\.gz$", "")).alias("episode"))
+
+
+def read_transcript_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The same of transcripts that follow one another as lines; video_filepath instead of episode."""
+    x = spark.read.schema(TRANSCRIPT).json(path).select("video_filepath", F.posexplode_outer("transcript.segments").alias("pos", "s"))
+    return _segments(x, "video_filepath")
 
 
 def read_episodes(spark: SparkSession, path: str) -> DataFrame:

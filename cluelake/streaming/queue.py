@@ -20,6 +20,10 @@ COMPLETE = {
     "augment": ("MULTIMODAL_DONE", "VECTORIZING", "COMPLETED"),
     "verify": ("COMPLETED",),
 }
+# The stages that run for each choice of a stage.
+ACTIVE = {
+    "all": ("transcribe", "extract", "augment", "verify"), "transcribe": ("transcribe",), "extract": ("extract",), "augment": ("augment",), "verify": ("verify",),
+}
 MAX_RETRIES, ERROR_CHARS = 3, 500
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.driver.host", "127.0.0.1")
+        .config("spark.checkpoint.dir", f"file://{tempfile.mkdtemp(prefix='cluelake-tests-')}")
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
