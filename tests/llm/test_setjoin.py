@@ -112,3 +112,34 @@ def test_no_link_is_lost_before_verification():
 
 def test_no_rows(spark):
     assert setjoin.groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_noisy_copies_and_passages(spark, monkeypatch):
+    """Groups whose sets stand at, and around, the limit from their source and from each other, with the smallest groups of segments."""
+    monkeypatch.setattr(setjoin, "GROUP", 2)
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(r.randint(2, 6)))
+    rows = []
+    for size, copies in ((60, 50), (150, 60), (30, 30)):
+        base = [word() for _ in range(size)]
+        for _ in range(copies):
+            v = list(base)
+            for _ in range(r.randint(0, size // 12)):
+                v[r.randrange(size)] = word()
+            rows.append((len(rows), " ".join(v)))
+    passage = [word() for _ in range(70)]
+    for _ in range(40):
+        rows.append((len(rows), " ".join([word() for _ in range(r.randint(5, 30))] + passage)))
+    got = sorted([tuple(x) for x in setjoin.groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()], key=repr)
+    want = brute(rows)
+    assert [x for x in zip(got, want) if x[0] != x[1]][:5] == []
+    assert 5 < len({c for _, _, c in want}) < 150
+
+
+def test_representatives(spark):
+    """The row of the least id of each group stays; nulls come last; rows without shingles stay; columns keep names and values."""
+    t = "one two three four five six seven eight"
+    rows = [(5, t, "a"), (3, t.upper(), "b"), (None, t, "c"), (7, None, "d"), (7, "", "e"), (9, "other words are here", "f"), (9, "other words are here", "f")]
+    got = setjoin.representatives(spark.createDataFrame(rows, "doc_id long, text string, row string")).collect()
+    assert sorted(x["row"] for x in got) == ["b", "d", "e", "f"]
+    assert {x["row"]: x["text"] for x in got}["b"] == t.upper()
