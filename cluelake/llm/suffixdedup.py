@@ -6,8 +6,11 @@ moving every suffix. Of the GRAM-byte grams inside a string the one of least
 hash is its anchor, which depends on nothing but the string; successive
 strings of a text mostly have the same anchor. Segments ask which anchors
 occur in more than one document, and send only strings of those: for a run of
-successive strings with one anchor, the bytes that hold them. A bucket of
-anchors thus gets all equal strings that can matter, in snippets.
+successive strings with one anchor, the bytes that hold them, a snippet. Equal
+snippets of a segment are sent once, with the least id of their documents, so
+a passage in very many documents reaches its bucket once from each segment. A
+bucket of anchors thus gets all equal strings that can matter, and answers each
+segment with the least id of every string.
 
 In a bucket, distinct snippets are put in shards of SHARD bytes. A shard's
 suffix array is made by Larsson-Sadakane refinement (sort by 7 symbols, then
@@ -112,26 +115,46 @@ def _answered(table: pa.Table) -> pa.Table:
     return pa.table({"seg": table.column("seg"), "bucket": table.column("bucket"), "shared": pa.array(out, pa.binary()), "n": pa.array([len(x) for x in asked], pa.int64())})
 
 
+class Shared:
+    """Of a segment, the runs whose anchor more than one document has, in the order of their buckets, and their distinct snippets.
+
+    which: of each run, the number of its snippet; edges: where each bucket's
+    runs begin, and the end; cuts: the same of snippets; raw: the snippets.
+    """
+
+    def __init__(self, s: Segment, path: str, n: int):
+        start, k, v, doc = _runs(s)
+        some, _ = segments.distinct(np.sort(v))
+        got = [r for _, r in sorted(segments.answer(path, s.seg).items())]
+        shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in got] or [np.zeros(0, np.uint8)])
+        if len(shared) != len(some):
+            raise ValueError(f"segment {s.seg} isn't answered in full")
+        keep = np.flatnonzero(shared[np.searchsorted(some, v)] == 1)
+        bucket = segments.bucket_of(v[keep], n).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        keep, bucket = keep[order], bucket[order]
+        self.start, self.k = start[keep], k[keep]
+        self.value = np.where(s.known, s.ids, NULL_ID)[doc[keep]]
+        self.edges = np.searchsorted(bucket, np.arange(n + 1))
+        data, seen = s.data.tobytes(), {}  # equal snippets have one anchor, so one bucket
+        ends = (self.start + self.k + LENGTH - 1).tolist()
+        self.which = np.array([seen.setdefault(data[i:j], len(seen)) for i, j in zip(self.start.tolist(), ends)], np.int64)
+        self.raw = list(seen)
+        first = np.zeros(len(seen), np.int64)
+        first[self.which[::-1]] = np.arange(len(keep))[::-1]
+        self.cuts = np.searchsorted(first, self.edges)  # numbers follow the order of first places
+        self.least = np.full(len(seen), NULL_ID, np.int64)
+        np.minimum.at(self.least, self.which, self.value)
+
+
 def _snippets(s: Segment, path: str, n: int):
-    start, k, v, doc = _runs(s)
-    some, _ = segments.distinct(np.sort(v))
-    got = [r for _, r in sorted(segments.answer(path, s.seg).items())]
-    shared = np.concatenate([np.unpackbits(np.frombuffer(r["shared"], np.uint8), count=r["n"]) for r in got] or [np.zeros(0, np.uint8)])
-    if len(shared) != len(some):
-        raise ValueError(f"segment {s.seg} isn't answered in full")
-    keep = shared[np.searchsorted(some, v)] == 1
-    start, k, v, doc = start[keep], k[keep], v[keep], doc[keep]
-    bucket = segments.bucket_of(v, n).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    start, k, doc, bucket = start[order], k[order], doc[order], bucket[order]
-    value = np.where(s.known, s.ids, NULL_ID)[doc]
-    e = np.searchsorted(bucket, np.arange(n + 1))
-    raw = s.data
-    for b in np.flatnonzero(np.diff(e)).tolist():
-        i = slice(e[b], e[b + 1])
-        size = k[i] + LENGTH - 1
-        at = np.repeat(start[i], size) + common.spans(size)
-        yield pa.RecordBatch.from_pydict({"bucket": [b], "seg": [s.seg], "start": [start[i].astype("<i8").tobytes()], "k": [k[i].astype("<i8").tobytes()], "value": [value[i].astype("<i8").tobytes()], "data": [raw[at].tobytes()]})
+    """A row for each bucket with runs: the sizes (strings) of the segment's distinct snippets, the least ids that have them, and their bytes."""
+    x = Shared(s, path, n)
+    for b in np.flatnonzero(np.diff(x.cuts)).tolist():
+        i, j = int(x.cuts[b]), int(x.cuts[b + 1])
+        raw = x.raw[i:j]
+        k = np.array([len(r) for r in raw], "<i8") - LENGTH + 1
+        yield pa.RecordBatch.from_pydict({"bucket": [b], "seg": [s.seg], "k": [k.astype("<u1").tobytes()], "value": [x.least[i:j].astype("<i8").tobytes()], "data": [b"".join(raw)]})
 
 
 # ---------------------------------------------------------------- suffix arrays
@@ -264,47 +287,61 @@ def _least_ids(raw: list[bytes], least: np.ndarray) -> np.ndarray:
 
 
 def _found(table: pa.Table) -> pa.Table:
-    """For each segment, ranges of bytes to remove."""
-    cols = {c: table.column(c).to_pylist() for c in ("seg", "start", "k", "value", "data")}
-    start, k, value = (np.concatenate([np.frombuffer(x, "<i8") for x in cols[c]]) for c in ("start", "k", "value"))
-    seg = np.repeat(np.array(cols["seg"], np.int64), [len(x) // 8 for x in cols["start"]])
+    """For each segment, the least id of each string of its snippets, in order: ids, and how many strings in turn have each (within a snippet)."""
+    cols = {c: table.column(c).to_pylist() for c in ("k", "value", "data")}
+    sent = [np.frombuffer(x, np.uint8).astype(np.int64) for x in cols["k"]]
+    k, value = np.concatenate(sent), np.concatenate([np.frombuffer(x, "<i8") for x in cols["value"]])
     seen: dict[bytes, int] = {}
     which = np.empty(len(k), np.int64)
     at = 0
-    for blob, sizes in zip(cols["data"], cols["k"]):
+    for blob, sizes in zip(cols.pop("data"), sent):
         p = 0
-        for z in (np.frombuffer(sizes, "<i8") + LENGTH - 1).tolist():
+        for z in (sizes + LENGTH - 1).tolist():
             which[at] = seen.setdefault(blob[p : p + z], len(seen))
             p += z
             at += 1
     least = np.full(len(seen), NULL_ID, np.int64)
     np.minimum.at(least, which, value)
-    ids = _least_ids(list(seen), least)
     per = np.zeros(len(seen), np.int64)
     per[which] = k
     first = np.cumsum(per) - per
-    out: dict[str, list] = {"seg": [], "start": [], "end": []}
-    bucket = table.column("bucket")[0].as_py()
-    for a in range(0, len(k), 50_000):
-        w, n = which[a : a + 50_000], k[a : a + 50_000]
-        gone = ids[np.repeat(first[w], n) + common.spans(n)] < np.repeat(value[a : a + 50_000], n)
-        where = np.repeat(start[a : a + 50_000], n) + common.spans(n)
-        of = np.repeat(np.arange(len(n)), n)
-        x = np.flatnonzero(gone)
-        if len(x):
-            new = np.concatenate(([True], (x[1:] != x[:-1] + 1) | (of[x[1:]] != of[x[:-1]])))
-            b = np.flatnonzero(new)
-            e = np.append(b[1:], len(x)) - 1
-            out["seg"].append(seg[a + of[x[b]]])
-            out["start"].append(where[x[b]])
-            out["end"].append(where[x[e]] + LENGTH)
-    s, b, e = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in out.values())
-    order = np.argsort(s, kind="stable")
-    s, b, e = s[order], b[order], e[order]
-    names, n = segments.distinct(s)
-    cut = np.cumsum(n) - n
-    blobs = lambda v: pa.array([v[i : i + m].astype("<i8").tobytes() for i, m in zip(cut.tolist(), n.tolist())], pa.binary())
-    return pa.table({"seg": pa.array(names, pa.int64()), "bucket": pa.array([bucket] * len(names), pa.int64()), "start": blobs(b), "end": blobs(e)})
+    ids = _least_ids(list(seen), least)
+    out: dict[str, list] = {"ids": [], "turns": []}
+    at = 0
+    for n in sent:
+        w = which[at : at + len(n)]
+        at += len(n)
+        x = ids[np.repeat(first[w], n) + common.spans(n)]
+        new = np.zeros(len(x), bool)
+        new[np.cumsum(n) - n] = True
+        new[1:] |= x[1:] != x[:-1]
+        begin = np.flatnonzero(new)
+        out["ids"].append(x[begin].astype("<i8").tobytes())
+        out["turns"].append(np.diff(np.append(begin, len(x))).astype("<u1").tobytes())
+    return pa.table({"seg": table.column("seg"), "bucket": table.column("bucket"), "ids": pa.array(out["ids"], pa.binary()), "turns": pa.array(out["turns"], pa.binary())})
+
+
+def _gone(s: Segment, x: Shared, answers: dict[int, dict]) -> np.ndarray:
+    """Which bytes of a segment go."""
+    mark = np.zeros(len(s.data) + 1, np.int32)
+    size = np.array([len(r) for r in x.raw], np.int64) - LENGTH + 1
+    for b in np.flatnonzero(np.diff(x.edges)).tolist():
+        r, i, j = answers[b], int(x.cuts[b]), int(x.cuts[b + 1])
+        ids = np.repeat(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["turns"], np.uint8))
+        first = np.cumsum(size[i:j]) - size[i:j]
+        for a in range(int(x.edges[b]), int(x.edges[b + 1]), 50_000):
+            runs = slice(a, min(a + 50_000, int(x.edges[b + 1])))
+            n, start = x.k[runs], x.start[runs]
+            turn = common.spans(n)
+            off = ids[np.repeat(first[x.which[runs] - i], n) + turn] < np.repeat(x.value[runs], n)
+            at = np.flatnonzero(off)
+            if len(at):
+                where, of = np.repeat(start, n)[at] + turn[at], np.repeat(np.arange(len(n)), n)[at]
+                new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (of[1:] != of[:-1])))
+                begin = np.flatnonzero(new)
+                np.add.at(mark, where[begin], 1)
+                np.add.at(mark, where[np.append(begin[1:], len(at)) - 1] + LENGTH, -1)
+    return np.cumsum(mark[:-1]) > 0
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -336,15 +373,11 @@ def _deduped(docs: DataFrame, last: str, value, kind) -> DataFrame:
     asked = segments.each(seg, lambda s: _asked(s, n), "bucket long, seg long, ids binary, many binary")
     path = segments.keep_answers(segments.by_bucket(asked, _answered, "seg long, bucket long, shared binary, n long"), n_segments)
     m = common.parts(size, BUCKET_BYTES)
-    sent = segments.each(seg, lambda s: _snippets(s, path, m), "bucket long, seg long, start binary, k binary, value binary, data binary")
-    gone = segments.keep_answers(segments.by_bucket(sent, _found, "seg long, bucket long, start binary, end binary"), n_segments)
+    sent = segments.each(seg, lambda s: _snippets(s, path, m), "bucket long, seg long, k binary, value binary, data binary")
+    found = segments.keep_answers(segments.by_bucket(sent, _found, "seg long, bucket long, ids binary, turns binary"), n_segments)
 
     def apply(s: Segment):
-        mark = np.zeros(len(s.data) + 1, np.int32)
-        for r in segments.answer(gone, s.seg).values():
-            np.add.at(mark, np.frombuffer(r["start"], "<i8"), 1)
-            np.add.at(mark, np.frombuffer(r["end"], "<i8"), -1)
-        off = np.cumsum(mark[:-1]) > 0
+        off = _gone(s, Shared(s, path, m), segments.answer(found, s.seg))
         begins = off & np.concatenate(([True], ~off[:-1]))
         size = np.diff(s.starts) - 1
         count = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[s.starts])
