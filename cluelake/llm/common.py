@@ -9,10 +9,12 @@ of the hashes and no more.
 from __future__ import annotations
 
 import atexit
+import functools
 import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,7 @@ ARROW_ROWS = 512
 
 _own: dict[str, str] = {}
 _paths: list[tuple[str, str]] = []
+_staged: list[tuple[str, str]] = []
 _shipped: set[str] = set()
 
 
@@ -45,10 +48,12 @@ def session(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, which driver and executors share; a temporary one where it is unset."""
+    """The folder named in spark.checkpoint.dir, which driver and executors share; a temporary one for a local session where it is unset."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir isn't set")
     key = spark.sparkContext.applicationId
     if key not in _own:
         _own[key] = f"file://{tempfile.mkdtemp(prefix='cluelake-')}"
@@ -63,16 +68,45 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release(spark: SparkSession, docs: DataFrame) -> None:
-    """Removes all that operators have written to the shared folder in this application, but for what docs itself reads.
+def _bare(path: str) -> str:
+    return path.split(":", 1)[-1].lstrip("/")
 
-    For a caller that has stored the operators' results elsewhere.
+
+def _read_by(docs: DataFrame) -> list[tuple[str, str]]:
+    """Which of the paths that operators have written docs reads."""
+    read = {_bare(os.path.dirname(f)) for f in docs.inputFiles()}
+    return [p for p in _paths if any(r.startswith(_bare(p[1])) for r in read)]
+
+
+def _drop(spark: SparkSession, gone: list[tuple[str, str]]) -> None:
+    for own in gone:
+        _remove(spark, own[1])
+        _paths.remove(own)
+
+
+def stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage of a pipeline whose result is written before the next one begins.
+
+    It first removes what operators of earlier stages have left in the shared
+    folder, but for what its own input reads.
     """
-    read = {os.path.dirname(f).split(":", 1)[-1].lstrip("/") for f in docs.inputFiles()}
-    for own in [x for x in _paths if x[0] == spark.sparkContext.applicationId]:
-        if not any(r.startswith(own[1].split(":", 1)[-1].lstrip("/")) for r in read):
-            _remove(spark, own[1])
-            _paths.remove(own)
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        held, app = _read_by(docs), spark.sparkContext.applicationId
+        _drop(spark, [p for p in _staged if p[0] == app and p not in held and p in _paths])
+        _staged[:] = [p for p in _staged if p[0] != app or p in held]
+        before = len(_paths)
+        out = f(spark, docs, sf_dir)
+        _staged.extend(_paths[before:])
+        return out
+
+    return run
+
+
+def discard(docs: DataFrame) -> None:
+    """Removes what written() has stored for docs, which isn't read any more."""
+    _drop(docs.sparkSession, _read_by(docs))
 
 
 def _remove(spark: SparkSession, path: str) -> None:
