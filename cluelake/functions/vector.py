@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries in a block; a block of queries meets a batch of rows in one matrix product.
-BLOCK = 1024
+from cluelake.sources.commit import scratch
+
+#: Queries in a block, which the driver and every task hold (512 bytes each at 64 dimensions), and rows that meet it at once.
+BLOCK, ROWS = 4096, 512
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -27,19 +29,32 @@ def cosine_distance(a: Column, b: Column) -> Column:
 def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """qid, vec_id, distance, place: the k nearest rows (vec_id, embedding) of each query by cosine distance, ties to the lower id, itself left out.
 
-    Exact: blocks of queries meet all rows, batch by batch, and each batch keeps
-    k candidates for a query; only those are shuffled.
+    Exact: a block of queries goes to all tasks as one matrix, and every batch
+    of rows keeps k candidates for each of them; only those are shuffled. More
+    than a block of queries take a pass over the rows for each block, whose
+    candidates are stored before the next one is fetched.
     """
-    n = F.floor(F.row_number().over(Window.partitionBy(F.pmod(F.xxhash64("vec_id"), F.lit(16))).orderBy("vec_id")) / BLOCK)
-    q = queries.withColumn("block", F.struct(F.pmod(F.xxhash64("vec_id"), F.lit(16)), n))
-    blocks = q.groupBy("block").agg(F.collect_list(F.struct("vec_id", "embedding")).alias("q")).select("q")  # BLOCK queries at most
+    n_blocks = -(-queries.count() // BLOCK)
+    if n_blocks <= 1:
+        near = _candidates(queries, rows, k)
+    else:
+        spark, path = rows.sparkSession, scratch(rows.sparkSession, "nearest")
+        for i in range(n_blocks):
+            _candidates(queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)) == i), rows, k).write.mode("append").parquet(path)
+        near = spark.read.parquet(path)
+    w = Window.partitionBy("qid").orderBy("distance", "vec_id")
+    return near.withColumn("place", F.row_number().over(w).cast("long")).filter(F.col("place") <= k)
+
+
+def _candidates(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    found = queries.select("vec_id", "embedding").collect()  # a block at most, give or take the hash's unevenness
+    of, e = np.array([x[0] for x in found], np.int64), np.array([x[1] for x in found], float)
 
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for _, part in b.groupby(b["q"].map(lambda x: x[0]["vec_id"])):
-                q = part["q"].iloc[0]
-                ids, of = part["vec_id"].to_numpy(), np.array([x["vec_id"] for x in q])
-                a, e = np.stack(part["embedding"].to_numpy()).astype(float), np.stack([x["embedding"] for x in q]).astype(float)
+            for start in range(0, len(b) if len(of) else 0, ROWS):
+                part = b.iloc[start : start + ROWS]
+                ids, a = part["vec_id"].to_numpy(), np.stack(part["embedding"].to_numpy()).astype(float)
                 norm = np.linalg.norm(e, axis=1)[:, None] * np.linalg.norm(a, axis=1)[None, :]
                 with np.errstate(divide="ignore", invalid="ignore"):
                     d = np.where(norm == 0, 1.0, np.clip(1 - e @ a.T / norm, 0, 1)).round(6)
@@ -49,7 +64,4 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
                 out = pd.DataFrame({"qid": np.repeat(of, order.shape[1]), "vec_id": ids[order].ravel(), "distance": keep.ravel()})
                 yield out[np.isfinite(out["distance"])]
 
-    each = rows.join(F.broadcast(blocks)) if queries.count() <= BLOCK else rows.crossJoin(blocks)
-    near = each.mapInPandas(best, "qid long, vec_id long, distance double")
-    w = Window.partitionBy("qid").orderBy("distance", "vec_id")
-    return near.withColumn("place", F.row_number().over(w).cast("long")).filter(F.col("place") <= k)
+    return rows.select("vec_id", "embedding").mapInPandas(best, "qid long, vec_id long, distance double")
