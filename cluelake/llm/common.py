@@ -11,6 +11,7 @@ from __future__ import annotations
 import atexit
 import functools
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -52,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir isn't set")
     key = spark.sparkContext.applicationId
     if key not in _own:
