@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -23,7 +24,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """
     top = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not top:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir isn't set")
         top = f"file://{tempfile.mkdtemp(prefix='cluelake-')}"
     path = f"{top.rstrip('/')}/{name}-{uuid.uuid4().hex}"
