@@ -18,7 +18,7 @@ import zipfile
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows in an Arrow batch; with texts of a few kB this is 1-2 MB, and a batch of the longest texts stays under 100 MB.
@@ -136,6 +136,22 @@ def text_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
+def numbered(rows: DataFrame, order: list, n: int, name: str) -> DataFrame:
+    """rows, dealt out by ranges of the sort keys `order` to n partitions, with part and idx: the partition and the place in it. Written."""
+    x = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    return written(x.withColumns({"part": F.spark_partition_id().cast("long"), "idx": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}), name)
+
+
+def pieces(rows: DataFrame, group: str) -> DataFrame:
+    """group, part, first (its least idx there), n, before (rows of the group in earlier parts), total, of rows that numbered() has sorted by group first.
+
+    A row for each group and part: nothing here grows with the rows of a group, but with the parts that they fill.
+    """
+    x = rows.groupBy(group, "part").agg(F.min("idx").alias("first"), F.count("*").alias("n"))
+    whole, past = Window.partitionBy(group), Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return x.withColumns({"before": F.coalesce(F.sum("n").over(past), F.lit(0)), "total": F.sum("n").over(whole)})
+
+
 # ---------------------------------------------------------------- hashing
 
 
