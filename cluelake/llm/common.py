@@ -152,6 +152,13 @@ def pieces(rows: DataFrame, group: str) -> DataFrame:
     return x.withColumns({"before": F.coalesce(F.sum("n").over(past), F.lit(0)), "total": F.sum("n").over(whole)})
 
 
+def crc32_sql(column: str) -> str:
+    """DuckDB's text for the unsigned crc32 of an integer column as decimal text, which it has no function for."""
+    digits = f"list_transform(string_split(CAST({column} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))"
+    byte = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295, {digits}), lambda c, b: {byte}), 4294967295)"
+
+
 # ---------------------------------------------------------------- hashing
 
 

@@ -290,12 +290,11 @@ def documents(docs: DataFrame) -> DataFrame:
     return manifest(docs, FIELDS, "lang", "doc_id", {"text": F.translate("text", _A, _A.lower())}, third).withColumnRenamed("id", "doc_id")
 
 
-_CRC = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))), lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
 _F = ", ".join(f"coalesce(strlen(CAST({f} AS VARCHAR)) || ':' || CAST({f} AS VARCHAR), '-')" if f != "text" else "{text}" for f in FIELDS)
 _T = "coalesce(strlen({0}) || ':' || {0}, '-')"
 SQL = f"""
 WITH RECURSIVE src AS (SELECT doc_id, lang, sha256(concat({_F.format(text=_T.format('text'))})) AS leaf,
-  CASE WHEN {_CRC} % 3 = 0 THEN sha256(concat({_F.format(text=_T.format(f"translate(text, '{_A}', '{_A.lower()}')"))})) END AS bad FROM documents),
+  CASE WHEN {common.crc32_sql('doc_id')} % 3 = 0 THEN sha256(concat({_F.format(text=_T.format(f"translate(text, '{_A}', '{_A.lower()}')"))})) END AS bad FROM documents),
 leaves AS (SELECT *, tree * 1000000000000 + pos AS r FROM (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM src) x),
 nodes(tree, level, pos, hash, size) AS (SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM leaves
