@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cluelake.llm import bpe, common, countfast, decontam, linededup, merkle, quality, scoring, setjoin, suffixdedup, tokenfile, trie, warc
+from cluelake.llm import bpe, common, countfast, decontam, linededup, merkle, quality, scoring, setjoin, simhash, suffixdedup, tokenfile, trie, warc
 
 END_ID = 2
 
@@ -59,9 +59,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefixes(table(spark, sf_dir, "conversations"))
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_output, op2_warc_audit, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup, op11_prefix_trie, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_token_output, op2_warc_audit, op3_ngram_jaccard, op4_byte_bpe, op5_decontaminate, op6_token_counts, op7_quality_rules, op8_suffix_dedup, op9_lm_scoring, op10_line_dedup, op11_prefix_trie, op12_fingerprints, op13_merkle_manifest)}
 ORACLE_SQL = {"op3_ngram_jaccard": setjoin.SQL, "op8_suffix_dedup": suffixdedup.SQL, "op2_warc_audit": warc.SQL, "op5_decontaminate": decontam.SQL, "op7_quality_rules": quality.SQL, "op11_prefix_trie": trie.SQL, "op13_merkle_manifest": merkle.SQL}
