@@ -40,6 +40,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def touched(spark: SparkSession, folder: str, at_ms: int) -> None:
+    """Sets the time of every file of a folder, by which a stream of files takes them in turn."""
+    fs, p = _fs(spark, folder)
+    for f in fs.listStatus(p):
+        fs.setTimes(f.getPath(), at_ms, -1)
+
+
 def write_batch(tables: dict[str, DataFrame], folder: str, batch: str) -> bool:
     """Writes all tables of a batch, or none: to a staging folder, which is renamed when every table is complete. False if the batch is there already."""
     spark = next(iter(tables.values())).sparkSession
