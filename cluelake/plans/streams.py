@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cluelake.plans.bindings import sql, view
 from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
-from cluelake.sources import commit
+from cluelake.sources import commit, log
 from cluelake.streaming import live
 
 
@@ -77,3 +79,29 @@ def stream_scoreboard(s, d):
     rows = ended(live.scoreboard(in_files(_game_events(s, d), live.EVENTS, "game")), "scores")
     last = rows.groupBy("episode").agg(F.max("batch").alias("batch"))
     return rows.join(last, ["episode", "batch"]).select("episode", "who", "score", "coryat", "adjusted", "pending", "clues")
+
+
+# ---------------------------------------------------------------- writers at the same time
+
+
+@query("SELECT id, CASE WHEN status = 'PENDING' THEN 'TRANSCRIBING' ELSE status END AS status, CASE WHEN status = 'PENDING' THEN 1 ELSE 0 END::BIGINT AS claims FROM {queue}")
+def claims_exclusive(s, d):
+    """Two workers empty a queue at the same time, from a log of commits: the rows that each claim returned, counted, beside the table that is left."""
+    q = view(s, d, "queue")
+    table = log.CommitLog(s, commit.scratch(s, "queue-log"), {"queue": ["id"]}, snapshot_every=5)
+    table.upsert("queue", q)
+    each = max(1, q.filter("status = 'PENDING'").count() // 5)
+
+    def work(_) -> list[DataFrame]:
+        out = []
+        while (mine := log.claim(table, "PENDING", "TRANSCRIBING", each)) is not None:
+            out.append(mine)
+        return out
+
+    with ThreadPoolExecutor(2) as pool:
+        got = [x for batches in pool.map(work, range(2)) for x in batches]
+    claimed = got[0]
+    for x in got[1:]:
+        claimed = claimed.union(x)
+    n = claimed.groupBy("id").agg(F.count("*").alias("claims"))
+    return table.state("queue").join(n, "id", "left").select("id", "status", F.coalesce("claims", F.lit(0)).alias("claims"))
