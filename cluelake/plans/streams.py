@@ -11,10 +11,10 @@ from cluelake.plans.bindings import sql, view
 from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
 from cluelake.sources import commit, log
-from cluelake.streaming import live
+from cluelake.streaming import dedup, late, live, windows
 
 
-def in_files(parts: list[DataFrame], schema: str, name: str) -> DataFrame:
+def in_files(parts: list[DataFrame], schema, name: str) -> DataFrame:
     """A stream that takes each part as one batch, in this order: files of Parquet, whose times are a second apart."""
     s = parts[0].sparkSession
     path = commit.scratch(s, name)
@@ -81,6 +81,31 @@ def stream_scoreboard(s, d):
     return rows.join(last, ["episode", "batch"]).select("episode", "who", "score", "coryat", "adjusted", "pending", "clues")
 
 
+# ---------------------------------------------------------------- repeats
+
+
+@query("""SELECT episode, seq, first_seq, round, category, n_attempts FROM (SELECT *, row_number() OVER (PARTITION BY episode, b, round, lower(trim(category)) ORDER BY n_attempts DESC, length(text) DESC, seq) AS rn,
+ min(seq) OVER (PARTITION BY episode, b, round, lower(trim(category))) AS first_seq FROM (SELECT *, round_even(start_ms / 2000, 0) * 2000 AS b FROM {clues}) x) y WHERE rn = 1""")
+def stream_dedup_best(s, d):
+    """The best clue of each bucket, given out when the watermark has passed the bucket: games that are played at one time, in two batches."""
+    x = view(s, d, "clues").select("episode", "seq", "round", "category", "start_ms", "n_attempts", "text", F.timestamp_millis((F.lit(1_700_000_000_000) + F.col("start_ms")).cast("long")).alias("ts"))
+    mid = x.agg(F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2)")).first()[0]
+    end = x.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    end = end.select(*[F.col("ts") if f.name == "ts" else F.lit(-1 if f.name != "text" else "").cast(f.dataType).alias(f.name) for f in x.schema])
+    stream = in_files([x.filter(F.col("ts") <= F.lit(mid)), x.filter(F.col("ts") > F.lit(mid)), end], x.schema, "heard")
+    rows = ended(dedup.best_of_bucket(stream, "10 seconds"), "best", "append")
+    return rows.filter("episode >= 0").select("episode", "seq", "first_seq", "round", "category", "n_attempts")
+
+
+@query("SELECT event_id, 1::BIGINT AS n FROM {events}")
+def stream_redelivered(s, d):
+    """Events of which every third is delivered again, with the next batch: each is counted once."""
+    e = _timed(s, d)
+    again = e.filter("event_id % 3 = 0")
+    rows = ended(dedup.first_of(in_files([e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1").union(again)], e.schema, "redelivered"), ["event_id"], "400 days"), "once", "append")
+    return rows.groupBy("event_id").agg(F.count("*").alias("n"))
+
+
 # ---------------------------------------------------------------- writers at the same time
 
 
@@ -105,3 +130,74 @@ def claims_exclusive(s, d):
         claimed = claimed.union(x)
     n = claimed.groupBy("id").agg(F.count("*").alias("claims"))
     return table.state("queue").join(n, "id", "left").select("id", "status", F.coalesce("claims", F.lit(0)).alias("claims"))
+
+
+# ---------------------------------------------------------------- late events
+
+# The batch in which an event comes: thirds of the time in order, but every 40th event comes in the end, after all others.
+_BATCH = """CASE WHEN event_id % 40 = 0 THEN 3 ELSE CAST(floor(3 * ({us}(ts) - lo) / (hi - lo + 1)) AS INT) END"""
+_DUCK_BATCHES = f"""b AS (SELECT e.*, {_BATCH.format(us='epoch_us')} AS batch FROM {{events}} e, (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM {{events}}) r),
+ m AS (SELECT batch + 1 AS batch, max(ts) AS latest FROM b GROUP BY batch), mark AS (SELECT a.batch, max(m.latest) - INTERVAL '2 days' AS bound FROM (SELECT DISTINCT batch FROM b) a JOIN m ON m.batch <= a.batch GROUP BY a.batch),
+ w AS (SELECT b.*, time_bucket(INTERVAL '1 day', ts) AS w_start, bound, coalesce(time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' <= bound, false) AS is_late FROM b LEFT JOIN mark ON mark.batch = b.batch)"""
+
+
+def _late_events(s: SparkSession, d: str) -> str:
+    """The folder of what the policy made of the events."""
+    x = sql(s, d, f"SELECT e.event_id, CAST(e.ts AS TIMESTAMP) AS ts, e.user_id, e.event_type, e.value, {_BATCH.format(us='unix_micros')} AS batch FROM (SELECT *, CAST(ts AS TIMESTAMP) AS t FROM {{events}}) e, (SELECT unix_micros(min(CAST(ts AS TIMESTAMP))) AS lo, unix_micros(max(CAST(ts AS TIMESTAMP))) AS hi FROM {{events}}) r".replace("unix_micros(ts)", "unix_micros(t)"))
+    plain = x.drop("batch")
+    stream = in_files([x.filter(F.col("batch") == i).drop("batch") for i in range(4)], plain.schema, "late-events")
+    out = commit.scratch(s, "late-policy")
+    live.run_to_end(stream, late.policy(out, "1 day", "2 days", ["event_type"]), commit.scratch(s, "late-at"))
+    return out
+
+
+@query(f"WITH {_DUCK_BATCHES} SELECT w_start, w_start + INTERVAL '1 day' AS w_end, event_type, count(*) AS n, round(sum(value), 4) AS total FROM w WHERE NOT is_late GROUP BY ALL")
+def stream_on_time_windows(s, d):
+    """Windows by day of the events that came before their window was closed."""
+    x = late.windows(s, _late_events(s, d), ["event_type"])
+    return x.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("w_start", "w_end")})
+
+
+@query(f"WITH {_DUCK_BATCHES} SELECT event_id, ts, batch::INT AS batch, bound AS watermark FROM w WHERE is_late")
+def stream_late_rows(s, d):
+    """The events that came too late, with the watermark that they missed."""
+    x = late.late_rows(s, _late_events(s, d))
+    return x.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("batch").cast("int").alias("batch"), F.col("watermark").cast("timestamp_ntz").alias("watermark"))
+
+
+def _timed(s: SparkSession, d: str) -> DataFrame:
+    return sql(s, d, "SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, user_id, event_type, value FROM {events}")
+
+
+def _closing(events: DataFrame, days: int = 1000) -> DataFrame:
+    """One row long after all others, of user -1 (a null would be dropped before the watermark sees it): watermarks pass whatever came before it."""
+    x = events.agg(F.max("ts").alias("ts")).withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAYS"))
+    return x.select(*[F.col("ts") if f.name == "ts" else F.lit(-1 if f.name in ("event_id", "user_id") else None).cast(f.dataType).alias(f.name) for f in events.schema])
+
+
+def _in_order(events: DataFrame, name: str) -> DataFrame:
+    """A stream of events: the first half of the time, the second, and the closing row."""
+    mid = events.agg(F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2)")).first()[0]
+    return in_files([events.filter(F.col("ts") <= F.lit(mid)), events.filter(F.col("ts") > F.lit(mid)), _closing(events)], events.schema, name)
+
+
+@query("""WITH o AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY user_id ORDER BY ts)) < 7200000000 THEN 0 ELSE 1 END AS opens FROM {events}),
+ n AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS i FROM o)
+ SELECT min(ts) AS w_start, max(ts) + INTERVAL '2 hours' AS w_end, user_id, count(*) AS n, round(sum(value), 4) AS total FROM n GROUP BY user_id, i""")
+def stream_sessions(s, d):
+    """Sessions of users, each given once, when the watermark has passed its end."""
+    x = windows.sessions(_in_order(_timed(s, d), "session-events"), "2 hours", ["user_id"], late="1 hour")
+    rows = ended(x, "sessions", "append").filter("user_id >= 0")  # within the stream, the filter would go below the watermark
+    return rows.select(*[F.col(c).cast("timestamp_ntz").alias(c) for c in ("w_start", "w_end")], "user_id", "n", "total")
+
+
+@query("""SELECT a.event_id, count(b.event_id) AS n, max(b.event_id) AS last FROM {events} a LEFT JOIN {events} b ON b.event_type = 'click' AND b.user_id = a.user_id AND b.ts BETWEEN a.ts - INTERVAL '6 hours' AND a.ts
+ WHERE a.event_type = 'purchase' GROUP BY a.event_id""")
+def stream_interval_join(s, d):
+    """Two streams: purchases with the clicks of their user in the six hours before; one without any is given out in the end."""
+    e = _timed(s, d)
+    ends = _closing(e)
+    a, b = ([x.filter(F.col("event_type") == k) for x in (e.filter("event_id % 2 = 0"), e.filter("event_id % 2 = 1"))] + [ends] for k in ("purchase", "click"))
+    x = late.interval_join(in_files(a, e.schema, "purchases"), in_files(b, e.schema, "clicks"), ["user_id"], "6 HOURS", "400 DAYS")
+    rows = ended(x.select("event_id", "r_event_id"), "joined", "append").filter("event_id >= 0")
+    return rows.groupBy("event_id").agg(F.count("r_event_id").alias("n"), F.max("r_event_id").alias("last"))
