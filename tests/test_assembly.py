@@ -45,6 +45,7 @@ def test_names_by_mapping(spark):
 
 def test_speaker_map_of_segments():
     seg = [{"speaker": "SPEAKER_02", "text": "Welcome back Rachel and Scott"}, {"speaker": "SPEAKER_02", "text": "Rachel, this is for Kamau"}, {"speaker": "SPEAKER_01", "text": "x"}, {"speaker": "SPEAKER_00", "text": "y"}]
+    assert recover.speaker_map(str(seg), ["Rae Scott"])["SPEAKER_02"] == "Rae Scott" and recover.speaker_map(str(seg), ["Una Known"])["SPEAKER_02"] == "Host"
     assert recover.speaker_map(str(seg)) == {"SPEAKER_02": "Host", "SPEAKER_00": "Rachel", "SPEAKER_01": "Welcome"}
 
 
