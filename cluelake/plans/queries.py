@@ -566,4 +566,4 @@ def speaker_map_parse(s, d):
     return x.select("c_custkey", recover.parsed_speaker_map(t)["SPEAKER_00"].alias("name"))
 
 
-from cluelake.plans import assembly, extra, joins, relational, streams  # noqa: E402, F401  they add to the register
+from cluelake.plans import assembly, extra, joins, relational, streams, summaries  # noqa: E402, F401  they add to the register
