@@ -11,7 +11,7 @@ from cluelake.plans.bindings import sql, view
 from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
 from cluelake.sources import commit, log
-from cluelake.streaming import dedup, late, live, windows
+from cluelake.streaming import dedup, folded, late, live, windows
 
 
 def in_files(parts: list[DataFrame], schema, name: str) -> DataFrame:
@@ -201,3 +201,47 @@ def stream_interval_join(s, d):
     x = late.interval_join(in_files(a, e.schema, "purchases"), in_files(b, e.schema, "clicks"), ["user_id"], "6 HOURS", "400 DAYS")
     rows = ended(x.select("event_id", "r_event_id"), "joined", "append").filter("event_id >= 0")
     return rows.groupBy("event_id").agg(F.count("r_event_id").alias("n"), F.max("r_event_id").alias("last"))
+
+
+# ---------------------------------------------------------------- tables that a stream keeps
+
+_STEPS = "SELECT user_id AS id, event_id AS seq, event_type AS status, CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_type END AS stage, CAST(event_id % 40 AS DOUBLE) AS ms, event_id % 3 AS part FROM {events}"
+
+
+@query(f"""WITH x AS ({_STEPS}), c AS (SELECT status, count(*) AS n FROM (SELECT id, max_by(status, seq) AS status FROM x GROUP BY id) y GROUP BY status),
+ s AS (SELECT stage, count(ms) AS runs, sum(ms) / count(ms) AS mean_ms FROM x WHERE stage IS NOT NULL GROUP BY stage)
+ SELECT coalesce(c.status, s.stage) AS name, n, runs, mean_ms FROM c FULL JOIN s ON c.status = s.stage""")
+def stream_dashboard(s, d):
+    """Counts of ids by their last status and times by stage, kept by the changes of each batch; every batch comes twice, and steps come out of order."""
+    x = sql(s, d, _STEPS)
+    table = folded.opened(s, commit.scratch(s, "board"), folded.BOARD, snapshot_every=3)
+    sink = folded.board_sink(table)
+
+    def twice(df: DataFrame, n: int) -> None:
+        sink(df, n)
+        sink(df, n)
+
+    parts = [x.filter(F.col("part") == i).drop("part") for i in (2, 0, 1)]
+    live.run_to_end(in_files(parts, parts[0].schema, "steps"), twice, commit.scratch(s, "board-at"))
+    counts, stages = folded.board(table)
+    return counts.withColumnRenamed("status", "name").join(stages.withColumnRenamed("stage", "name"), "name", "full_outer").select("name", "n", "runs", "mean_ms")
+
+
+_TRIED = "SELECT o_orderkey AS id, CAST({i} AS BIGINT) AS attempt, 38 + o_custkey % 12 + 2 * {i} AS n_clues, CAST((o_orderkey % 11) / 2 - {i} / 2 AS DOUBLE) AS weight FROM {{orders}}"
+_GOOD = "n_clues >= 45 AND weight <= 3"
+
+
+@query(f"""WITH t AS ({" UNION ALL ".join(_TRIED.format(i=i).replace("/ 2", "/ 2.0") for i in range(4))}), f AS (SELECT id, min(attempt) FILTER ({_GOOD}) AS ok FROM t GROUP BY id)
+ SELECT id, CASE WHEN ok IS NULL THEN 'FAILED' ELSE 'COMPLETED' END AS status, coalesce(ok, 3)::INT AS retry_count, coalesce(ok, 4)::BIGINT AS n_quarantined FROM f""")
+def stream_gate(s, d):
+    """Extractions that come again, a little better, until the gate takes them or their retries are used up."""
+    table = folded.opened(s, commit.scratch(s, "gate"), folded.GATE)
+    sink = folded.gate_sink(table)
+    for i in range(4):
+        x = sql(s, d, _TRIED.format(i=i).replace("/ 2", "/ 2.0"))
+        if i:
+            x = x.join(table.state("queue").filter("status = 'TRANSCRIPT_READY'").select("id"), "id", "left_semi")
+        sink(x, i)
+        sink(x, i)
+    n = table.state("quarantined").groupBy("id").agg(F.count("*").alias("n_quarantined"))
+    return table.state("queue").join(n, "id", "left").select("id", "status", "retry_count", F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"))
