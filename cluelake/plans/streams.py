@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cluelake.plans.bindings import sql, view
 from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
-from cluelake.sources import commit, log
+from cluelake.sources import commit, documents, log
 from cluelake.streaming import dedup, folded, late, live, windows
 
 
@@ -245,3 +245,40 @@ def stream_gate(s, d):
         sink(x, i)
     n = table.state("quarantined").groupBy("id").agg(F.count("*").alias("n_quarantined"))
     return table.state("queue").join(n, "id", "left").select("id", "status", "retry_count", F.coalesce("n_quarantined", F.lit(0)).alias("n_quarantined"))
+
+
+# ---------------------------------------------------------------- whole files
+
+_SAID = "SELECT CAST(episode AS VARCHAR(20)) AS episode, row_number() OVER (PARTITION BY episode ORDER BY pos) - 1 AS pos, speaker, CASE WHEN pos % 5 = 0 THEN NULL ELSE text END AS text, start_ms / 8000 AS start, CASE WHEN pos % 4 > 0 THEN end_ms / 8000 END AS end FROM {segments}"
+
+
+def _documents(x: DataFrame) -> DataFrame:
+    """episode, document: a transcript of each episode."""
+    segments = F.array_sort(F.collect_list(F.struct("pos", "speaker", "text", "start", "end")))
+    plain = F.transform(segments, lambda p: F.struct(p["speaker"].alias("speaker"), p["text"].alias("text"), p["start"].alias("start"), p["end"].alias("end")))
+    return x.groupBy("episode").agg(F.to_json(F.struct(F.struct(plain.alias("segments")).alias("transcript"))).alias("document"))
+
+
+_READ = f"""WITH x AS ({_SAID.replace(' AS end FROM', ' AS "end" FROM')}) SELECT episode, pos::BIGINT AS pos, speaker, coalesce(text, '') AS text, coalesce(start, 0) * 1000 AS start_ms, coalesce("end", 0) * 1000 AS end_ms FROM x"""
+
+
+@query(_READ)
+def transcript_documents(s, d):
+    """Transcripts, a gzipped document a file, written and read back."""
+    documents.register(s)
+    folder = commit.scratch(s, "transcripts")
+    documents.write_transcripts(_documents(sql(s, d, _SAID)), folder).count()
+    return s.read.format("transcripts").load(folder)
+
+
+@query(_READ)
+def stream_transcripts(s, d):
+    """Transcripts that come in two lots, the second when the stream has ended and begins again: each is taken once."""
+    documents.register(s)
+    folder, at, out = commit.scratch(s, "arriving"), commit.scratch(s, "arriving-at"), commit.scratch(s, "arrived")
+    x = _documents(sql(s, d, _SAID)).withColumn("odd", F.crc32("episode") % 2 == 1)
+    for lot in ("odd", "NOT odd"):
+        documents.write_transcripts(x.filter(lot), folder).count()
+        stream = s.readStream.format("transcripts").option("settleMs", 0).load(folder)
+        live.run_to_end(stream, commit.stream_sink(out, lambda b: {"rows": b}), at, "append")
+    return commit.read_table(s, out, "rows").drop("batch")

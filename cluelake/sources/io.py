@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cluelake.functions.text import episode_id
 from cluelake.schemas import EPISODE, TRANSCRIPT
+from cluelake.sources.commit import _fs
 from cluelake.streaming.queue import open_for
 
 # Extensions of recordings.
@@ -49,7 +50,10 @@ def write_json(df: DataFrame, path: str, gzip: bool = False) -> None:
 
 
 def scan_files(spark: SparkSession, folder: str) -> DataFrame:
-    """episode_id, path, size of recordings below a folder, at any depth. Contents are not read."""
+    """episode_id, path, size of recordings below a folder, at any depth; of a folder that isn't there, none. Contents are not read."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return spark.createDataFrame([], "episode_id string, path string, size long")
     x = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", F.col("length").alias("size"))
     x = x.filter(F.lower("path").rlike("(?:" + "|".join(e.replace(".", r"\.") for e in EXTENSIONS) + ")$"))
     top = re.escape(re.sub("^file:/*", "/", folder.rstrip("/")))
