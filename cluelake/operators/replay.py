@@ -72,6 +72,26 @@ def scores(ev: DataFrame, contestants: DataFrame) -> DataFrame:
     return out.select("episode", "who", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("final_score", "coryat")])
 
 
+def stakes(clues: DataFrame, ev: DataFrame) -> DataFrame:
+    """episode, pos, stake of every True Daily Double, also of one without an attempt: its player's score before it, or the highest value of the round's board.
+
+    Marks stand before the events of their clue; the fold keeps the score and a stake for each mark.
+    """
+    marks = clues.filter(is_dd_branch() & (F.col("wager") == TRUE_DD))
+    marks = marks.select("episode", F.col("wagerer").alias("who"), "pos", F.lit(-1).alias("sub"), F.lit("mark").alias("kind"), F.lit(0).cast("long").alias("v"), F.when(F.col("round") == "Double J!", 2000).otherwise(1000).alias("m"))
+    mine = ev.drop("coryat").join(marks.select("episode", "who").distinct(), ["episode", "who"], "left_semi")
+    found = f"array<struct<pos:{ev.schema['pos'].dataType.simpleString()},stake:bigint>>"
+    start = F.struct(F.lit(0).cast("long").alias("score"), F.array().cast(found).alias("found"))
+
+    def step(acc: Column, e: Column) -> Column:
+        mark = F.struct(e["pos"].alias("pos"), F.greatest(acc["score"], e["m"].cast("long")).alias("stake"))
+        is_mark = e["kind"] == "mark"
+        return F.struct(F.when(is_mark, acc["score"]).otherwise(_step(acc["score"], e)).alias("score"), F.when(is_mark, F.array_append(acc["found"], mark)).otherwise(acc["found"]).alias("found"))
+
+    done = mine.unionByName(marks).groupBy("episode", "who").agg(F.aggregate(_ordered(), start, step, lambda acc: acc["found"]).alias("x"))
+    return done.select("episode", F.explode("x").alias("x")).select("episode", "x.pos", "x.stake")
+
+
 def running(ev: DataFrame) -> DataFrame:
     """episode, who, n, pos, score after each event."""
     walk = lambda a, e: F.array_append(a, F.struct(e["pos"].alias("pos"), _step(F.coalesce(F.element_at(a, -1)["score"], F.lit(0).cast("long")), e).alias("score")))

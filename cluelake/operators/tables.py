@@ -5,13 +5,53 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cluelake.operators import replay
 from cluelake.schemas import CONTRACTS
 
 FINAL_ORDER = 61
 
 
+def name_key(name: Column) -> Column:
+    return F.lower(F.regexp_replace(name, " ", "_"))
+
+
 def contestant_key(episode: Column, name: Column) -> Column:
-    return F.concat(episode, F.lit("_"), F.lower(F.regexp_replace(name, " ", "_")))
+    return F.concat(episode, F.lit("_"), name_key(name))
+
+
+def games(episodes: DataFrame) -> dict[str, DataFrame]:
+    """The long tables that the replay takes (episode is episode_id) of nested episodes; pos and k are places in their lists, from 1."""
+    e = F.col("episode_id").alias("episode")
+    at = F.col("i").cast("long") + 1
+    clue = episodes.select(e, F.posexplode("clues").alias("i", "c"))
+    tried = clue.select("episode", at.alias("pos"), F.posexplode("c.attempts").alias("j", "a"))
+    return {
+        "clues": clue.select("episode", at.alias("pos"), "c.round", "c.board_row", F.col("c.is_daily_double").alias("is_dd"), F.col("c.daily_double_wager").alias("wager"), F.col("c.wagerer_name").alias("wagerer"), F.col("c.selection_order").cast("long").alias("selection_order")),
+        "attempts": tried.select("episode", "pos", (F.col("j") + 1).cast("long").alias("k"), "a.speaker", "a.is_correct"),
+        "contestants": episodes.select(e, F.explode("contestants").alias("c")).select("episode", F.col("c.name").alias("who")).distinct(),
+        "adjustments": episodes.select(e, F.explode("score_adjustments").alias("a")).select("episode", F.col("a.contestant").alias("who"), F.col("a.points_adjusted").alias("points"), F.col("a.effective_after_clue_selection_order").cast("long").alias("after")),
+        "finals": episodes.select(e, F.explode("final_jep.wagers_and_responses").alias("w")).select("episode", F.col("w.contestant").alias("who"), F.col("w.wager").cast("long").alias("wager"), "w.is_correct"),
+    }
+
+
+def replayed(episodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(episodes, scores): each game played through; True Daily Doubles have the stake that they came to, scores are for flatten()."""
+    g = games(episodes)
+    ev = replay.events(**g)
+    scores = replay.scores(ev, g["contestants"]).select(F.col("episode").alias("episode_id"), F.col("who").alias("name"), "final_score", F.col("coryat").alias("coryat_score"))
+    stake = replay.stakes(g["clues"], ev).groupBy("episode").agg(F.map_from_entries(F.collect_list(F.struct("pos", "stake"))).alias("_stakes"))
+    x = episodes.join(stake.withColumnRenamed("episode", "episode_id"), "episode_id", "left")
+
+    def put(c: Column, i: Column) -> Column:
+        found = F.try_element_at("_stakes", (i + 1).cast("long")).cast("string")
+        return c.withField("daily_double_wager", F.coalesce(found, c["daily_double_wager"]))
+
+    return x.withColumn("clues", F.transform("clues", put)).drop("_stakes"), scores
+
+
+def star(episodes: DataFrame) -> dict[str, DataFrame]:
+    """The star of episodes as they were played."""
+    return flatten(*replayed(episodes))
 
 
 def flatten(episodes: DataFrame, scores: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -33,10 +73,10 @@ def flatten(episodes: DataFrame, scores: DataFrame | None = None) -> dict[str, D
     dd = dd.select("episode_id", "clue_id", F.concat("clue_id", F.lit("_dd")).alias("wager_id"), contestant_key(e, F.col("wagerer_name")).alias("contestant_id"), F.coalesce(F.expr("try_cast(daily_double_wager AS int)"), F.lit(-1)).alias("actual_wager"), F.lit(0).alias("j"))
     fj = F.concat(e, F.lit("_fj"))
     fin = episodes.filter("final_jep IS NOT NULL").select("episode_id", fj.alias("clue_id"), F.posexplode("final_jep.wagers_and_responses").alias("j", "w"))
-    fin_w = fin.select("episode_id", "clue_id", F.concat("clue_id", F.lit("_"), F.col("w.contestant")).alias("wager_id"), contestant_key(e, F.col("w.contestant")).alias("contestant_id"), F.col("w.wager").alias("actual_wager"), "j")
+    fin_w = fin.select("episode_id", "clue_id", F.concat("clue_id", F.lit("_"), name_key(F.col("w.contestant"))).alias("wager_id"), contestant_key(e, F.col("w.contestant")).alias("contestant_id"), F.col("w.wager").alias("actual_wager"), "j")
     fin_b = fin.select("episode_id", "clue_id", F.concat("clue_id", F.lit("_a"), (F.col("j") + 1).cast("string")).alias("attempt_id"), contestant_key(e, F.col("w.contestant")).alias("contestant_id"), "j", F.lit(1).alias("attempt_order"), F.col("w.contestant").alias("speaker"), F.col("w.response").alias("response_given"), F.col("w.is_correct").alias("is_correct"), F.lit(0.0).alias("buzz_timestamp_ms"), F.lit(0.0).alias("response_start_timestamp_ms"), F.lit(False).alias("is_lockout_inferred"), F.lit(0.0).alias("true_buzzer_latency_ms"))
-    fin_c = episodes.filter("final_jep IS NOT NULL").select("episode_id", fj.alias("clue_id"), F.lit("Final J!").alias("round"), F.col("final_jep.category").alias("category"), F.lit(FINAL_ORDER).alias("selection_order"), F.lit(False).alias("is_daily_double"), F.lit(0.0).alias("host_start_timestamp_ms"), F.lit(0.0).alias("host_finish_timestamp_ms"), F.lit(0).alias("clue_syllable_count"), F.col("final_jep.clue_text").alias("clue_text"), F.col("final_jep.correct_response").alias("correct_response"), (~F.exists("final_jep.wagers_and_responses", lambda w: w["is_correct"])).alias("is_triple_stumper"))
-    adj = episodes.select("episode_id", F.posexplode("score_adjustments").alias("j", "a")).select("episode_id", F.concat(e, F.lit("_adj_"), F.col("a.effective_after_clue_selection_order").cast("string"), F.lit("_"), F.col("a.contestant")).alias("adjustment_id"), contestant_key(e, F.col("a.contestant")).alias("contestant_id"), "j", "a.*")
+    fin_c = episodes.filter("final_jep IS NOT NULL").select("episode_id", fj.alias("clue_id"), F.lit("Final J!").alias("round"), F.col("final_jep.category").alias("category"), F.lit(FINAL_ORDER).alias("selection_order"), F.lit(False).alias("is_daily_double"), F.lit(0.0).alias("host_start_timestamp_ms"), F.lit(0.0).alias("host_finish_timestamp_ms"), F.lit(0).alias("clue_syllable_count"), F.col("final_jep.clue_text").alias("clue_text"), F.when(F.col("final_jep.correct_response") != "", F.col("final_jep.correct_response")).alias("correct_response"), F.lit(False).alias("is_verified"), F.lit(False).alias("requires_visual_context"), (~F.exists("final_jep.wagers_and_responses", lambda w: w["is_correct"])).alias("is_triple_stumper"))
+    adj = episodes.select("episode_id", F.posexplode("score_adjustments").alias("j", "a")).select("episode_id", F.concat(e, F.lit("_adj_"), F.col("a.effective_after_clue_selection_order").cast("string"), F.lit("_"), name_key(F.col("a.contestant"))).alias("adjustment_id"), contestant_key(e, F.col("a.contestant")).alias("contestant_id"), "j", "a.*")
     perf = contestants.select("episode_id", "contestant_id", "name", "podium_position")
     if scores is not None:
         perf = perf.join(scores, ["episode_id", "name"], "left")

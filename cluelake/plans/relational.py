@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cluelake.operators import replay, tables
 from cluelake.plans.bindings import sql, view
+from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
 from cluelake.schemas import EPISODE, SEGMENT
 from cluelake.sources import commit, io
@@ -44,8 +45,16 @@ def nested(s: SparkSession, d: str) -> DataFrame:
     return x.select("episode_id", *[F.col(c).cast(k).alias(c) for c, k in kinds.items()])
 
 
-def _star(s: SparkSession, d: str, name: str, scores: DataFrame | None = None) -> DataFrame:
-    return tables.flatten(nested(s, d), scores)[name]
+def _star(s: SparkSession, d: str, name: str) -> DataFrame:
+    return tables.flatten(nested(s, d))[name]
+
+
+def _played(s: SparkSession, d: str, name: str) -> DataFrame:
+    return tables.star(nested(s, d))[name]
+
+
+_FOLD = f"WITH RECURSIVE {_EVENTS}"
+_STAKES = "SELECT x.episode, x.pos, greatest(coalesce(f.score, 0), x.m)::BIGINT AS stake FROM num x LEFT JOIN fold f ON f.episode = x.episode AND f.who = x.who AND f.n = x.n - 1 WHERE x.kind <> 'add'"
 
 
 @query("SELECT 'ep' || episode AS episode_id, '2024-01-01' AS air_date, 'Ken' AS host_name, episode % 5 = 0 AS is_tournament FROM (SELECT DISTINCT episode FROM {clues}) x")
@@ -58,35 +67,44 @@ def star_contestants(s, d):
     return _star(s, d, "contestants")
 
 
-@query("""SELECT 'ep' || c.episode AS episode_id, 'ep' || c.episode || '_' || lower(c.who) AS contestant_id, c.podium::INT AS podium_position, CASE WHEN podium < 3 THEN (c.episode * 3 + podium)::INT ELSE 0 END AS final_score, CASE WHEN podium < 3 THEN podium::INT ELSE 0 END AS coryat_score FROM {contestants} c""")
+@query(f"""{_FOLD} SELECT 'ep' || c.episode AS episode_id, 'ep' || c.episode || '_' || lower(c.who) AS contestant_id, c.podium::INT AS podium_position, coalesce(f.score, 0)::INT AS final_score, coalesce(k.coryat, 0)::INT AS coryat_score
+ FROM {{contestants}} c LEFT JOIN (SELECT episode, who, max_by(score, n) AS score FROM fold GROUP BY episode, who) f ON f.episode = c.episode AND f.who = c.who
+ LEFT JOIN (SELECT episode, who, sum(coryat) AS coryat FROM ev GROUP BY episode, who) k ON k.episode = c.episode AND k.who = c.who""")
 def star_performances(s, d):
-    scored = view(s, d, "contestants").filter("podium < 3")  # the third has no score
-    scores = scored.select(F.concat(F.lit("ep"), F.col("episode").cast("string")).alias("episode_id"), F.col("who").alias("name"), (F.col("episode") * 3 + F.col("podium")).alias("final_score"), F.col("podium").alias("coryat_score"))
-    return _star(s, d, "episode_performances", scores)
+    """Scores from the replay of the nested episodes."""
+    return _played(s, d, "episode_performances")
 
 
-@query("""SELECT 'ep' || c.episode AS episode_id, 'ep' || c.episode || '_c' || c.pos AS clue_id, c.round, c.category, c.board_row, c.pos::INT AS selection_order, c.is_dd AS is_daily_double, c.start_ms AS host_start_timestamp_ms, c.text AS clue_text, coalesce(a.n, 0) = 0 AS is_triple_stumper
- FROM {clues} c LEFT JOIN (SELECT episode, pos, count_if(is_correct) AS n FROM {attempts} GROUP BY episode, pos) a ON a.episode = c.episode AND a.pos = c.pos
- UNION ALL SELECT 'ep' || episode, 'ep' || episode || '_fj', 'Final J!', 'c', NULL, 61, false, 0.0, 't', NOT bool_or(is_correct) FROM {finals} GROUP BY episode""")
+@query(f"""{_FOLD}, st AS ({_STAKES})
+ SELECT 'ep' || c.episode AS episode_id, 'ep' || c.episode || '_c' || c.pos AS clue_id, c.round, c.category, c.board_row, c.board_col, c.pos::INT AS selection_order, c.text AS clue_text, c.response AS correct_response, false AS is_verified, CAST(NULL AS VARCHAR) AS original_response,
+  c.is_dd AS is_daily_double, coalesce(a.n, 0) = 0 AS is_triple_stumper, CASE WHEN c.is_dd THEN coalesce(st.stake::VARCHAR, c.wager) END AS daily_double_wager, CASE WHEN c.is_dd THEN c.wagerer END AS wagerer_name, false AS requires_visual_context,
+  c.start_ms AS host_start_timestamp_ms, c.finish_ms AS host_finish_timestamp_ms, 0 AS clue_syllable_count
+ FROM {{clues}} c LEFT JOIN (SELECT episode, pos, count_if(is_correct) AS n FROM {{attempts}} GROUP BY episode, pos) a ON a.episode = c.episode AND a.pos = c.pos LEFT JOIN st ON st.episode = c.episode AND st.pos = c.pos
+ UNION ALL SELECT 'ep' || episode, 'ep' || episode || '_fj', 'Final J!', 'c', NULL, NULL, 61, 't', 'a', false, NULL, false, NOT bool_or(is_correct), NULL, NULL, false, 0.0, 0.0, 0 FROM {{finals}} GROUP BY episode""")
 def star_clues(s, d):
-    return _star(s, d, "clues").select("episode_id", "clue_id", "round", "category", "board_row", "selection_order", "is_daily_double", "host_start_timestamp_ms", "clue_text", "is_triple_stumper")
+    """All columns; a True Daily Double has the stake that the replay came to."""
+    return _played(s, d, "clues")
 
 
-@query("""SELECT 'ep' || episode AS episode_id, 'ep' || episode || '_c' || pos || '_dd' AS wager_id, 'ep' || episode || '_' || lower(wagerer) AS contestant_id, coalesce(try_cast(wager AS INT), -1) AS actual_wager FROM {clues} WHERE is_dd
- UNION ALL SELECT 'ep' || episode, 'ep' || episode || '_fj_' || who, 'ep' || episode || '_' || lower(who), wager::INT FROM {finals}""")
+@query(f"""{_FOLD}, st AS ({_STAKES})
+ SELECT 'ep' || c.episode AS episode_id, 'ep' || c.episode || '_c' || c.pos AS clue_id, 'ep' || c.episode || '_c' || c.pos || '_dd' AS wager_id, 'ep' || c.episode || '_' || lower(wagerer) AS contestant_id, coalesce(st.stake, try_cast(wager AS INT), -1)::INT AS actual_wager
+ FROM {{clues}} c LEFT JOIN st ON st.episode = c.episode AND st.pos = c.pos WHERE is_dd
+ UNION ALL SELECT 'ep' || episode, 'ep' || episode || '_fj', 'ep' || episode || '_fj_' || lower(who), 'ep' || episode || '_' || lower(who), wager::INT FROM {{finals}}""")
 def star_wagers(s, d):
-    return _star(s, d, "wagers").select("episode_id", "wager_id", "contestant_id", "actual_wager")
+    return _played(s, d, "wagers")
 
 
-@query("""SELECT 'ep' || a.episode || '_c' || a.pos || '_a' || a.k AS attempt_id, 'ep' || a.episode || '_' || lower(a.speaker) AS contestant_id, a.is_correct, a.buzz_ms - c.finish_ms AS true_buzzer_latency_ms FROM {attempts} a JOIN {clues} c ON c.episode = a.episode AND c.pos = a.pos WHERE a.speaker IN ('P0', 'P1', 'P2')
- UNION ALL SELECT 'ep' || episode || '_fj_a' || row_number() OVER (PARTITION BY episode ORDER BY who), 'ep' || episode || '_' || lower(who), is_correct, 0.0 FROM {finals}""")
+@query("""SELECT 'ep' || a.episode AS episode_id, 'ep' || a.episode || '_c' || a.pos AS clue_id, 'ep' || a.episode || '_c' || a.pos || '_a' || a.k AS attempt_id, 'ep' || a.episode || '_' || lower(a.speaker) AS contestant_id, a.k::INT AS attempt_order, a.speaker, 'x' AS response_given, a.is_correct,
+  a.buzz_ms AS buzz_timestamp_ms, a.buzz_ms + 250 AS response_start_timestamp_ms, false AS is_lockout_inferred, a.buzz_ms - c.finish_ms AS true_buzzer_latency_ms FROM {attempts} a JOIN {clues} c ON c.episode = a.episode AND c.pos = a.pos WHERE a.speaker IN ('P0', 'P1', 'P2')
+ UNION ALL SELECT 'ep' || episode, 'ep' || episode || '_fj', 'ep' || episode || '_fj_a' || row_number() OVER (PARTITION BY episode ORDER BY who), 'ep' || episode || '_' || lower(who), 1, who, 'r', is_correct, 0.0, 0.0, false, 0.0 FROM {finals}""")
 def star_buzz_attempts(s, d):
-    return _star(s, d, "buzz_attempts").select("attempt_id", "contestant_id", "is_correct", "true_buzzer_latency_ms")
+    return _star(s, d, "buzz_attempts")
 
 
-@query("""SELECT 'ep' || episode || '_adj_' || after || '_' || who AS adjustment_id, 'ep' || episode || '_' || lower(who) AS contestant_id, points::INT AS points_adjusted FROM {adjustments} WHERE who IN ('P0', 'P1', 'P2')""")
+@query("""SELECT 'ep' || episode AS episode_id, 'ep' || episode || '_adj_' || after || '_' || lower(who) AS adjustment_id, 'ep' || episode || '_' || lower(who) AS contestant_id, who AS contestant, points::INT AS points_adjusted, 'x' AS reason, after::INT AS effective_after_clue_selection_order
+ FROM {adjustments} WHERE who IN ('P0', 'P1', 'P2')""")
 def star_score_adjustments(s, d):
-    return _star(s, d, "score_adjustments").select("adjustment_id", "contestant_id", "points_adjusted")
+    return _star(s, d, "score_adjustments")
 
 
 @query("""SELECT 'attempts' AS kind, count_if(speaker NOT IN ('P0', 'P1', 'P2')) AS n_dropped FROM {attempts} UNION ALL SELECT 'adjustments', count_if(who NOT IN ('P0', 'P1', 'P2')) FROM {adjustments}""")

@@ -89,3 +89,31 @@ def test_nearest_in_several_blocks(spark, monkeypatch):
 
 def test_scratch_is_in_the_shared_folder(spark):
     assert commit.scratch(spark, "x").startswith(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+
+
+def test_star_of_games_as_played(spark):
+    """True Daily Doubles take the score before them, with or without an attempt; ids are lower-cased with underscores; unknown names drop out."""
+    from cluelake.schemas import EPISODE
+
+    def clue(order, row, tries, rnd="J!", wager=None, who=None):
+        a = [{"attempt_order": i + 1, "speaker": w, "response_given": "r", "is_correct": ok, "buzz_timestamp_ms": 1500.0, "response_start_timestamp_ms": 1750.0, "is_lockout_inferred": False} for i, (w, ok) in enumerate(tries)]
+        return {"round": rnd, "category": "C", "board_row": row, "board_col": 1, "selection_order": order, "is_daily_double": wager is not None, "requires_visual_context": False, "host_start_timestamp_ms": 0.0, "host_finish_timestamp_ms": 1000.0, "clue_syllable_count": 3, "daily_double_wager": wager, "wagerer_name": who, "clue_text": "t", "correct_response": "a", "is_verified": False, "original_response": None, "attempts": a}
+
+    ann, bo = "Ann B. Lee", "Bo"
+    clues = [
+        clue(1, 5, [(bo, False), ("Stranger", True), (ann, True)]), clue(2, 3, [(ann, True)], wager="True Daily Double", who=ann), clue(3, 1, [], wager="True Daily Double", who=ann),
+        clue(4, 2, [(bo, True)], "Double J!", "True Daily Double", bo), clue(5, 1, [(ann, False)], wager="700", who=ann), clue(6, 1, [(ann, True)], wager="True Daily Double", who=None),
+    ]
+    people = [{"name": n, "podium_position": i + 1, "occupational_category": None, "is_returning_champion": False, "description": None} for i, n in enumerate((ann, bo, "Cy"))]
+    final = {"category": "F", "clue_text": "t", "correct_response": "", "wagers_and_responses": [{"contestant": ann, "wager": 100, "response": "r", "is_correct": False}, {"contestant": "Nobody", "wager": 1, "response": "r", "is_correct": True}]}
+    fixes = [{"contestant": "Ann B. Lee", "points_adjusted": 50, "reason": "x", "effective_after_clue_selection_order": 1}, {"contestant": "Bo", "points_adjusted": 9, "reason": "x", "effective_after_clue_selection_order": 44}]
+    e = spark.createDataFrame([("e1", "2024-01-01", "H", False, people, clues, final, fixes)], f"episode_id string, {EPISODE}")
+    star = tables.star(e)
+    # Ann: 1000, 50 more, stake 1050 won, -700, 200 (no wagerer: an ordinary clue), -100; Bo: -1000, stake 2000 won
+    assert {r.contestant_id: (r.podium_position, r.final_score, r.coryat_score) for r in star["episode_performances"].collect()} == {"e1_ann_b._lee": (1, 1500, 1000 + 600 - 200 + 200), "e1_bo": (2, 1000, -1000 + 800), "e1_cy": (3, 0, 0)}
+    assert {r.wager_id: r.actual_wager for r in star["wagers"].collect()} == {"e1_c2_dd": 1050, "e1_c3_dd": 2100, "e1_c4_dd": 2000, "e1_c5_dd": 700, "e1_fj_ann_b._lee": 100}
+    rows = {r.clue_id: r for r in star["clues"].collect()}
+    assert [rows[f"e1_c{i}"].daily_double_wager for i in (1, 2, 3, 4, 5, 6)] == [None, "1050", "2100", "2000", "700", "True Daily Double"]
+    assert (rows["e1_fj"].selection_order, rows["e1_fj"].correct_response, rows["e1_fj"].is_verified, rows["e1_fj"].is_triple_stumper) == (61, None, False, False)
+    assert [r.adjustment_id for r in star["score_adjustments"].orderBy("adjustment_id").collect()] == ["e1_adj_1_ann_b._lee", "e1_adj_44_bo"]
+    assert star["buzz_attempts"].filter("contestant_id LIKE '%stranger%' OR contestant_id LIKE '%nobody%'").count() == 0
