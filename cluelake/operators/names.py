@@ -115,6 +115,52 @@ def swept(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts
     return x.select("episode", "speaker", "soft", F.coalesce("exact", F.when(F.col("is_host").isNull(), F.col("match"))).alias("who"))
 
 
+def canonical(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> DataFrame:
+    """speakers (episode, speaker) with name: by lookup, else the nearest contestant, else the speaker itself. For wagers, corrections and Finals."""
+    s = speakers.select("episode", "speaker").distinct()
+    found = lookup(mapping, contestants, hosts).withColumnRenamed("name", "by_variant")
+    x = s.withColumn("variant", F.lower("speaker")).join(found, ["episode", "variant"], "left").join(fuzzy(s, contestants), ["episode", "speaker"], "left")
+    return x.select("episode", "speaker", F.coalesce("by_variant", "match", "speaker").alias("name"))
+
+
+def _map(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """episode and a map of an episode's speakers: a few dozen."""
+    return rows.filter(F.col("speaker").isNotNull() & F.col(value).isNotNull()).groupBy("episode").agg(F.map_from_entries(F.collect_list(F.struct("speaker", value))).alias(name))
+
+
+def swept_games(episodes: DataFrame, mapping: DataFrame, hosts: DataFrame) -> DataFrame:
+    """Nested episodes with one spelling of each name in attempts, wagerers, corrections and Finals, and n_dropped: the attempts that no contestant made.
+
+    mapping (episode, seq, id, name) and hosts (episode, host) as for lookup();
+    episode is episode_id. Attempts are swept; the other names take what
+    canonical() finds. An attempt without a speaker goes. Names are resolved
+    once for each episode and put back into the arrays by maps.
+    """
+    e = F.col("episode_id").alias("episode")
+    people = episodes.select(e, F.posexplode("contestants.name").alias("seq", "name"))
+    clue = episodes.select(e, F.explode("clues").alias("c"))
+    said = clue.select("episode", F.explode("c.attempts.speaker").alias("speaker"))
+    others = clue.select("episode", F.col("c.wagerer_name").alias("speaker")).filter("speaker <> ''")
+    others = others.union(episodes.select(e, F.explode("score_adjustments.contestant"))).union(episodes.select(e, F.explode("final_jep.wagers_and_responses.contestant")))
+    who = _map(swept(said, mapping, people, hosts), "who", "_who")
+    name = _map(canonical(others, mapping, people, hosts), "name", "_name")
+    maps = who.join(name, "episode", "full_outer").withColumnRenamed("episode", "episode_id")
+    x = episodes.join(maps, "episode_id", "left")
+    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    x = x.withColumns({"_who": F.coalesce("_who", none), "_name": F.coalesce("_name", none)})
+    of = lambda c: F.coalesce(F.try_element_at("_name", c), c)
+    known = lambda a: F.map_contains_key("_who", F.coalesce(a["speaker"], F.lit("")))
+    tries = lambda c: F.transform(F.filter(c["attempts"], known), lambda a: a.withField("speaker", F.element_at("_who", a["speaker"])))
+    count = lambda clues: F.aggregate(clues, F.lit(0), lambda n, c: n + F.greatest(F.size(c["attempts"]), F.lit(0)))
+    new = F.transform("clues", lambda c: c.withField("attempts", tries(c)).withField("wagerer_name", of(c["wagerer_name"])))
+    fixes = F.transform("score_adjustments", lambda a: a.withField("contestant", of(a["contestant"])))
+    wagers = F.transform("final_jep.wagers_and_responses", lambda w: w.withField("contestant", of(w["contestant"])))
+    final = F.when(F.col("final_jep").isNotNull(), F.col("final_jep").withField("wagers_and_responses", wagers))
+    x = x.withColumn("_new", new).withColumn("n_dropped", (F.coalesce(count("clues"), F.lit(0)) - F.coalesce(count("_new"), F.lit(0))).cast("long"))
+    x = x.withColumns({"clues": F.col("_new"), "score_adjustments": fixes, "final_jep": final})
+    return x.select(*episodes.columns, "n_dropped")
+
+
 def hosts(episodes: DataFrame, mapping: DataFrame, known: DataFrame, default: str) -> DataFrame:
     """episode, host: a known host (seq, host) as it is; else the first mapped name (episode, id, name) that is one, or a word of one; else the default.
 

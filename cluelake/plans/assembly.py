@@ -8,6 +8,7 @@ from cluelake.functions import board, text, timing, vector
 from cluelake.operators import names, tables, transcript
 from cluelake.plans.bindings import sql, view
 from cluelake.plans.registry import query
+from cluelake.schemas import EPISODE
 from cluelake.sources.io import load_table
 from cluelake.streaming import queue
 
@@ -140,12 +141,15 @@ def _cast(s, d):
     return people, mapping, people.select("episode", F.lit("Ken Host").alias("host")).distinct()
 
 
-@query("""WITH e AS (SELECT c_custkey // 4 AS e, bool_or(c_custkey % 4 = 0) AS r, bool_or(c_custkey % 4 = 1) AS s, bool_or(c_custkey % 4 = 2) AS k, bool_or(c_custkey % 4 = 3) AS d FROM {customer} GROUP BY c_custkey // 4),
+_LOOKUP = """WITH e AS (SELECT c_custkey // 4 AS e, bool_or(c_custkey % 4 = 0) AS r, bool_or(c_custkey % 4 = 1) AS s, bool_or(c_custkey % 4 = 2) AS k, bool_or(c_custkey % 4 = 3) AS d FROM {customer} GROUP BY c_custkey // 4),
  x AS (SELECT e AS episode, unnest([CASE WHEN r THEN ['rachel ba' || e, 'Rachel Ba' || e] END, CASE WHEN r THEN ['rachel', 'Rachel Ba' || e] END, CASE WHEN r THEN ['ba' || e, 'Rachel Ba' || e] END,
   CASE WHEN s THEN ['scott r' || e, 'Scott R' || e] END, CASE WHEN s THEN ['scott', 'Scott R' || e] END, CASE WHEN s THEN ['r' || e, 'Scott R' || e] END, CASE WHEN s THEN ['speaker_01', 'Scott R' || e] END, CASE WHEN s THEN ['s01', 'Scott R' || e] END, CASE WHEN s THEN ['s1', 'Scott R' || e] END,
   CASE WHEN k THEN ['w. kamau b' || e, 'W. Kamau B' || e] END, CASE WHEN k THEN ['kamau', 'W. Kamau B' || e] END, CASE WHEN k THEN ['b' || e, 'W. Kamau B' || e] END, CASE WHEN k THEN ['mr. kamau', 'W. Kamau B' || e] END, CASE WHEN k THEN ['speaker_02', 'W. Kamau B' || e] END, CASE WHEN k THEN ['s02', 'W. Kamau B' || e] END, CASE WHEN k THEN ['s2', 'W. Kamau B' || e] END,
   CASE WHEN d THEN ['dan d' || e, 'Dan D' || e] END, CASE WHEN d THEN ['dan', 'Dan D' || e] END, CASE WHEN d THEN ['d' || e, 'Dan D' || e] END, CASE WHEN d THEN ['speaker_03', 'Stranger'] END, CASE WHEN d THEN ['s03', 'Stranger'] END, CASE WHEN d THEN ['s3', 'Stranger'] END]) AS v FROM e)
- SELECT episode, v[1] AS variant, v[2] AS name FROM x WHERE v IS NOT NULL""")
+ SELECT episode, v[1] AS variant, v[2] AS name FROM x WHERE v IS NOT NULL"""
+
+
+@query(_LOOKUP)
 def name_lookup(s, d):
     people, mapping, hosts = _cast(s, d)
     return names.lookup(mapping, people, hosts)
@@ -161,6 +165,54 @@ def name_sweep(s, d):
     return names.swept(heard, mapping, people.join(full, "episode", "left_semi"), hosts).select("episode", "speaker", "who")
 
 
+_KINDS = ("attempt", "wagerer", "correction", "final")
+
+
+def _named_games(s, d):
+    """Nested episodes in which every name of _HEARD stands in each of the four places, for all casts, whole or not."""
+    people, mapping, hosts = _cast(s, d)
+    shape = dict(s.createDataFrame([], EPISODE).dtypes)
+    heard = F.array(*map(F.lit, _HEARD))
+    cast = people.groupBy("episode").agg(F.array_sort(F.collect_list(F.struct("seq", "name"))).alias("c"))
+    to = lambda kind, **c: F.from_json(F.to_json(F.struct(*[v.alias(k) for k, v in c.items()])), kind)
+    one = lambda column: shape[column][len("array<") : -1]
+    clues = F.transform(heard, lambda h: to(one("clues"), wagerer_name=h, attempts=F.transform(heard, lambda x: F.struct(x.alias("speaker")))))
+    x = cast.select(
+        F.col("episode").cast("string").alias("episode_id"), F.transform("c", lambda p: to(one("contestants"), name=p["name"])).alias("contestants"), F.slice(clues, 1, len(_HEARD)).alias("clues"),
+        to(shape["final_jep"], wagers_and_responses=F.transform(heard, lambda h: F.struct(h.alias("contestant")))).alias("final_jep"), F.transform(heard, lambda h: to(one("score_adjustments"), contestant=h)).alias("score_adjustments"),
+    )
+    text = lambda df: df.withColumn("episode", F.col("episode").cast("string"))
+    return x, text(mapping), text(hosts)
+
+
+@query(f"""WITH look AS ({_LOOKUP}), people AS ({_CAST}), heard AS (SELECT unnest([{", ".join(f"'{h}'" for h in _HEARD)}]) AS h), asked AS (SELECT DISTINCT episode, h FROM people, heard),
+ cand AS (SELECT episode, seq, name, unnest(range(0, 9)) AS i, list_prepend(lower(name), list_filter(string_split(lower(name), ' '), lambda p: length(p) > 1)) AS ways FROM people),
+ parts AS (SELECT episode, seq, name, i, ways[i + 1] AS part FROM cand WHERE i < len(ways)),
+ soft AS (SELECT a.*, coalesce(l.name, c.name, a.h) AS soft, l.name AS by_look FROM asked a LEFT JOIN look l ON l.episode = a.episode AND l.variant = lower(a.h)
+  LEFT JOIN (SELECT a.episode, h, arg_min(name, seq) AS name FROM asked a JOIN people p ON p.episode = a.episode AND contains(lower(name), lower(h)) GROUP BY a.episode, h) c ON c.episode = a.episode AND c.h = a.h),
+ ask AS (SELECT episode, h AS q FROM soft UNION SELECT episode, soft FROM soft),
+ near AS (SELECT episode, q, name FROM (SELECT k.episode, q, name, row_number() OVER (PARTITION BY k.episode, q ORDER BY levenshtein(lower(q), part), seq, i) AS n FROM ask k JOIN parts p ON p.episode = k.episode AND levenshtein(lower(q), part) <= 3) x WHERE n = 1),
+ hosts AS (SELECT DISTINCT episode, 'ken host' AS h FROM people UNION SELECT episode, unnest(['speaker_00', 's00', 's0']) FROM people WHERE seq = 0),
+ who AS (SELECT s.episode, s.h, coalesce(e.name, CASE WHEN o.h IS NULL THEN n.name END) AS name FROM soft s LEFT JOIN people e ON e.episode = s.episode AND lower(e.name) = lower(soft)
+  LEFT JOIN hosts o ON o.episode = s.episode AND o.h = lower(soft) LEFT JOIN near n ON n.episode = s.episode AND n.q = soft),
+ other AS (SELECT s.episode, s.h, coalesce(by_look, n.name, s.h) AS name FROM soft s LEFT JOIN near n ON n.episode = s.episode AND n.q = s.h)
+ SELECT episode, 'attempt' AS kind, name, count(*) * {len(_HEARD)} AS n FROM who WHERE name IS NOT NULL GROUP BY episode, name UNION ALL SELECT episode, 'dropped', NULL, count(*) * {len(_HEARD)} FROM who WHERE name IS NULL GROUP BY episode
+ UNION ALL SELECT episode, kind, name, count(*) FROM other, (SELECT unnest({list(_KINDS[1:])}) AS kind) k GROUP BY episode, kind, name""")
+def names_in_games(s, d):
+    """Names in attempts, wagerers, corrections and Finals of nested episodes, made one, and the attempts that go."""
+    x = names.swept_games(*_named_games(s, d))
+    e = F.col("episode_id").cast("bigint").alias("episode")
+    clue = x.select(e, F.explode("clues").alias("c"))
+    found = {
+        "attempt": clue.select("episode", F.explode("c.attempts.speaker").alias("name")), "wagerer": clue.select("episode", F.col("c.wagerer_name").alias("name")),
+        "correction": x.select(e, F.explode("score_adjustments.contestant").alias("name")), "final": x.select(e, F.explode("final_jep.wagers_and_responses.contestant").alias("name")),
+    }
+    out = x.filter("n_dropped > 0").select(e, F.lit("dropped").alias("kind"), F.lit(None).cast("string").alias("name"), F.col("n_dropped").alias("n"))
+    for kind in _KINDS:
+        out = out.unionByName(found[kind].groupBy("episode", "name").agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind)))
+    return out
+
+
 # ---------------------------------------------------------------- verification, queue, telemetry
 
 _FIELD = "CASE turn % 2 WHEN 0 THEN 'clue_text' ELSE 'correct_response' END"
