@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,16 +90,16 @@ def lookup(mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> Data
     return v.join(ids, ["episode", "variant"], "left_anti").unionByName(ids).unionByName(more)
 
 
-def swept(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> DataFrame:
+def swept(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """speakers (episode, speaker) with soft and who: the name by lookup or containment, and the contestant that is left after the sweep.
 
     soft is the speaker itself where nothing is found. The sweep keeps
     contestants, drops the host with all ids, takes the nearest contestant by
     edit distance, and else leaves who null: such an attempt goes. Names of
-    wagers and adjustments take coalesce(who, speaker).
+    wagers and adjustments take coalesce(who, speaker). found: what lookup() gives, if it is there already.
     """
     s = speakers.select("episode", "speaker").distinct()
-    found = lookup(mapping, contestants, hosts).withColumnRenamed("name", "by_variant")
+    found = (found or lookup(mapping, contestants, hosts)).withColumnRenamed("name", "by_variant")
     x = s.withColumn("variant", F.lower("speaker")).join(found, ["episode", "variant"], "left").drop("variant")
     c = contestants.select("episode", "seq", F.col("name").alias("cname"))
     inside = x.join(c, "episode", "left").withColumn("inside", F.lower("cname").contains(F.lower("speaker")))
@@ -115,10 +117,10 @@ def swept(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts
     return x.select("episode", "speaker", "soft", F.coalesce("exact", F.when(F.col("is_host").isNull(), F.col("match"))).alias("who"))
 
 
-def canonical(speakers: DataFrame, mapping: DataFrame, contestants: DataFrame, hosts: DataFrame) -> DataFrame:
-    """speakers (episode, speaker) with name: by lookup, else the nearest contestant, else the speaker itself. For wagers, corrections and Finals."""
+def canonical(speakers: DataFrame, found: DataFrame, contestants: DataFrame) -> DataFrame:
+    """speakers (episode, speaker) with name: by lookup (found), else the nearest contestant, else the speaker itself. For wagers, corrections and Finals."""
     s = speakers.select("episode", "speaker").distinct()
-    found = lookup(mapping, contestants, hosts).withColumnRenamed("name", "by_variant")
+    found = found.withColumnRenamed("name", "by_variant")
     x = s.withColumn("variant", F.lower("speaker")).join(found, ["episode", "variant"], "left").join(fuzzy(s, contestants), ["episode", "speaker"], "left")
     return x.select("episode", "speaker", F.coalesce("by_variant", "match", "speaker").alias("name"))
 
@@ -128,13 +130,14 @@ def _map(rows: DataFrame, value: str, name: str) -> DataFrame:
     return rows.filter(F.col("speaker").isNotNull() & F.col(value).isNotNull()).groupBy("episode").agg(F.map_from_entries(F.collect_list(F.struct("speaker", value))).alias(name))
 
 
-def swept_games(episodes: DataFrame, mapping: DataFrame, hosts: DataFrame) -> DataFrame:
+def swept_games(episodes: DataFrame, mapping: DataFrame, hosts: DataFrame, store: Callable[[DataFrame], DataFrame] = lambda x: x) -> DataFrame:
     """Nested episodes with one spelling of each name in attempts, wagerers, corrections and Finals, and n_dropped: the attempts that no contestant made.
 
     mapping (episode, seq, id, name) and hosts (episode, host) as for lookup();
     episode is episode_id. Attempts are swept; the other names take what
     canonical() finds. An attempt without a speaker goes. Names are resolved
-    once for each episode and put back into the arrays by maps.
+    once for each episode and put back into the arrays by maps. store writes a
+    table and reads it back: what both kinds of names look up is made once then.
     """
     e = F.col("episode_id").alias("episode")
     people = episodes.select(e, F.posexplode("contestants.name").alias("seq", "name"))
@@ -142,8 +145,9 @@ def swept_games(episodes: DataFrame, mapping: DataFrame, hosts: DataFrame) -> Da
     said = clue.select("episode", F.explode("c.attempts.speaker").alias("speaker"))
     others = clue.select("episode", F.col("c.wagerer_name").alias("speaker")).filter("speaker <> ''")
     others = others.union(episodes.select(e, F.explode("score_adjustments.contestant"))).union(episodes.select(e, F.explode("final_jep.wagers_and_responses.contestant")))
-    who = _map(swept(said, mapping, people, hosts), "who", "_who")
-    name = _map(canonical(others, mapping, people, hosts), "name", "_name")
+    found = store(lookup(mapping, people, hosts))
+    who = _map(store(swept(said, mapping, people, hosts, found)), "who", "_who")
+    name = _map(store(canonical(others, found, people)), "name", "_name")
     maps = who.join(name, "episode", "full_outer").withColumnRenamed("episode", "episode_id")
     x = episodes.join(maps, "episode_id", "left")
     none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))

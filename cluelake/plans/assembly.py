@@ -9,6 +9,7 @@ from cluelake.operators import names, tables, transcript
 from cluelake.plans.bindings import sql, view
 from cluelake.plans.registry import query
 from cluelake.schemas import EPISODE
+from cluelake.sources import commit
 from cluelake.sources.io import load_table
 from cluelake.streaming import queue
 
@@ -200,7 +201,7 @@ def _named_games(s, d):
  UNION ALL SELECT episode, kind, name, count(*) FROM other, (SELECT unnest({list(_KINDS[1:])}) AS kind) k GROUP BY episode, kind, name""")
 def names_in_games(s, d):
     """Names in attempts, wagerers, corrections and Finals of nested episodes, made one, and the attempts that go."""
-    x = names.swept_games(*_named_games(s, d))
+    x = commit.stored(names.swept_games(*_named_games(s, d), store=lambda t: commit.stored(t, "names")), "named-games")
     e = F.col("episode_id").cast("bigint").alias("episode")
     clue = x.select(e, F.explode("clues").alias("c"))
     found = {

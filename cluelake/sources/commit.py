@@ -40,6 +40,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to a scratch table and read back, which cuts their lineage."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def touched(spark: SparkSession, folder: str, at_ms: int) -> None:
     """Sets the time of every file of a folder, by which a stream of files takes them in turn."""
     fs, p = _fs(spark, folder)
