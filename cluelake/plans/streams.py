@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cluelake.plans.bindings import sql, view
 from cluelake.plans.queries import _EVENTS
 from cluelake.plans.registry import query
-from cluelake.sources import commit, documents, log
+from cluelake.sources import commit, documents, log, snapshots
 from cluelake.streaming import dedup, folded, late, live, windows
 
 
@@ -282,3 +282,21 @@ def stream_transcripts(s, d):
         stream = s.readStream.format("transcripts").option("settleMs", 0).load(folder)
         live.run_to_end(stream, commit.stream_sink(out, lambda b: {"rows": b}), at, "append")
     return commit.read_table(s, out, "rows").drop("batch")
+
+
+# ---------------------------------------------------------------- files and snapshots
+
+
+@query("SELECT event_type, count(*) AS n, sum(event_id)::BIGINT AS ids, 0::BIGINT AS lost FROM {events} GROUP BY event_type")
+def snapshot_compacted(s, d):
+    """Events appended in many small files, compacted by size and swept: the last snapshot's rows, and how many rows the one before it had more."""
+    e = _timed(s, d)
+    table = snapshots.SnapshotTable(s, commit.scratch(s, "snapshots"))
+    for i in range(3):
+        table.append(e.filter(F.col("event_id") % 3 == i).repartition(8))
+    before = table.versions()[-1]
+    table.compact(target=4 * max(table.manifest()[1].values()))
+    table.sweep(keep=2, older_than_s=0)
+    more = table.read(before).exceptAll(table.read()).groupBy("event_type").agg(F.count("*").alias("lost"))
+    x = table.read().groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").cast("long").alias("ids"))
+    return x.join(more, "event_type", "left").select("event_type", "n", "ids", F.coalesce("lost", F.lit(0)).alias("lost"))
