@@ -52,11 +52,11 @@ def resolve(attempts: DataFrame, contestants: DataFrame, hosts: DataFrame) -> Da
 def reconcile(mapping: DataFrame, contestants: DataFrame, hosts: list[str]) -> DataFrame:
     """mapping (episode, id, name) with resolved: a contestant by exact name, a known host as is, a contestant that holds the name, the nearest one, else the name itself."""
     m = mapping.withColumn("low", F.trim(F.lower("name")))
-    c = contestants.select("episode", "seq", F.col("name").alias("cname"))
+    c = contestants.select("episode", F.col("seq").alias("cseq"), F.col("name").alias("cname"))
     near = fuzzy(mapping.select("episode", F.col("name").alias("speaker")).distinct(), contestants).select("episode", F.col("speaker").alias("name"), "match")
     x = m.join(c, "episode", "left").groupBy("episode", "id", "name", "low").agg(
         F.max(F.when(F.trim(F.lower("cname")) == F.col("low"), F.col("cname"))).alias("exact"),
-        F.min(F.when(F.lower("cname").contains(F.col("low")), F.struct("seq", "cname"))).alias("held"),
+        F.min(F.when(F.lower("cname").contains(F.col("low")), F.struct("cseq", "cname"))).alias("held"),
     )
     x = x.join(near, ["episode", "name"], "left")
     host = F.col("low").isin(*[h.lower() for h in hosts]) if hosts else F.lit(False)

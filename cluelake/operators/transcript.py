@@ -132,15 +132,20 @@ def clue_context(clues: DataFrame, segments: DataFrame, before: int = 3, after:
 
 
 def spliced(clues: DataFrame, segments: DataFrame, least: int = 10) -> DataFrame:
-    """clues (episode, key, first, last, said, category) with text: what was said, if it has ten characters or more, else the segments' text without its preamble."""
+    """clues (episode, key, first, last, said, category) with text: what was said, if it has ten characters or more, else the segments' text without its preamble. A last before the first is taken as the first."""
     s = segments.select("episode", "pos", "text")
-    x = clues.select("episode", "key", "first", "last").join(s, "episode").filter(F.col("pos").between(F.col("first"), F.col("last")))
-    x = _joined(x, ["episode", "key"], F.col("text"), " ")
+    x = clues.select("episode", "key", "first", F.greatest("first", "last").alias("last")).join(s, "episode").filter(F.col("pos").between(F.col("first"), F.col("last")))
+    x = _joined(x, ["episode", "key"], T.stripped(F.col("text")), " ")
     own = T.stripped(F.coalesce("said", F.lit("")))
     heard = T.without_preamble(T.stripped(F.coalesce("joined", F.lit(""))), F.col("category"))
     return clues.join(x, ["episode", "key"], "left").withColumn("text", F.when(F.length(own) >= least, own).otherwise(heard)).drop("joined")
 
 
+def without_final(clues: DataFrame) -> DataFrame:
+    """Clues that are extracted from the transcript's boards: the Final's has a place of its own."""
+    return clues.filter(~F.col("round").eqNullSafe(F.lit("Final J!")))
+
+
 def selection_context(clues: DataFrame, segments: DataFrame, before: int = 2) -> DataFrame:
     """clues (episode, key, first) with announced: the text of up to two segments before and of the first one; null at the transcript's start."""
     s = segments.select("episode", "pos", "text")

@@ -26,19 +26,27 @@ def round_filter(s, d):
     """The Final's clues leave the extraction; on the given tables the second round stands for it."""
     last = F.col("round") == "Double J!"
     x = view(s, d, "clues").withColumn("round", F.when(last, "Final J!").otherwise(F.col("round")))
-    return x.filter("round <> 'Final J!'").select("episode", "pos", "round")
+    return transcript.without_final(x).select("episode", "pos", "round")
 
 
 _TOLD = "CASE pos % 3 WHEN 0 THEN text WHEN 1 THEN ' short ' END"
 _TRIM = "regexp_replace(regexp_replace({0}, '^\\s+', ''), '\\s+$', '')"
 
 
-@query(f"""WITH c AS (SELECT episode, pos AS key, greatest(0, pos - 2) AS first, pos AS last, {_TRIM.format(f"coalesce({_TOLD}, '')")} AS own FROM {{segments}}),
- j AS (SELECT c.episode, c.key, string_agg(s.text, ' ' ORDER BY s.pos) AS t FROM c JOIN {{segments}} s ON s.episode = c.episode AND s.pos BETWEEN c.first AND c.last GROUP BY c.episode, c.key)
- SELECT c.episode, c.key, CASE WHEN length(own) >= 10 THEN own ELSE {_TRIM.format("coalesce(t, '')")} END AS text FROM c LEFT JOIN j ON j.episode = c.episode AND j.key = c.key""")
+_PRE = text.PREAMBLE.replace("'", "''")
+_HEARD_AS = "SELECT episode, pos, CASE WHEN pos % 4 = 0 THEN concat('Trees for $400. ', text) WHEN pos % 4 = 2 THEN concat(' ', text, ' ') ELSE text END AS text FROM {segments}"
+
+
+@query(f"""WITH s AS ({_HEARD_AS}), c AS (SELECT episode, pos AS key, greatest(0, pos - 2) AS first, CASE WHEN pos % 5 = 3 THEN greatest(0, pos - 2) ELSE pos END AS last, {_TRIM.format(f"coalesce({_TOLD}, '')")} AS own FROM {{segments}}),
+ j AS (SELECT c.episode, c.key, string_agg({_TRIM.format('s.text')}, ' ' ORDER BY s.pos) AS t FROM c JOIN s ON s.episode = c.episode AND s.pos BETWEEN c.first AND c.last GROUP BY c.episode, c.key),
+ h AS (SELECT c.*, {_TRIM.format("coalesce(t, '')")} AS t FROM c LEFT JOIN j ON j.episode = c.episode AND j.key = c.key),
+ r AS (SELECT *, {_TRIM.format(f"regexp_replace(t, '{_PRE}', '')")} AS rest FROM h)
+ SELECT episode, key, CASE WHEN length(own) >= 10 THEN own WHEN (starts_with(lower(t), 'trees') OR starts_with(lower(t), 'let''s ') OR starts_with(lower(t), 'one more time')) AND regexp_matches(t, '{_PRE}') AND length(rest) >= 10 THEN rest ELSE t END AS text FROM r""")
 def clue_text_source(s, d):
-    seg = view(s, d, "segments")
-    c = seg.select("episode", F.col("pos").alias("key"), F.greatest(F.lit(0), F.col("pos") - 2).alias("first"), F.col("pos").alias("last"), F.expr(_TOLD).alias("said"), F.lit("no such category").alias("category"))
+    """What was said or, where that is missing or short, the transcript's text without the announcement; some ends lie before their start."""
+    seg = sql(s, d, _HEARD_AS)
+    last = F.when(F.col("pos") % 5 == 3, F.lit(-1)).otherwise(F.col("pos"))
+    c = view(s, d, "segments").select("episode", F.col("pos").alias("key"), F.greatest(F.lit(0), F.col("pos") - 2).alias("first"), last.alias("last"), F.expr(_TOLD).alias("said"), F.lit("Trees").alias("category"))
     return transcript.spliced(c, seg).select("episode", "key", "text")
 
 
@@ -166,6 +174,41 @@ def name_sweep(s, d):
     return names.swept(heard, mapping, people.join(full, "episode", "left_semi"), hosts).select("episode", "speaker", "who")
 
 
+_SHOWS = "SELECT c_custkey AS episode, CASE c_custkey % 4 WHEN 0 THEN ' ann LEE ' WHEN 1 THEN 'Nobody' WHEN 2 THEN NULL ELSE '' END AS host_name FROM {customer}"
+_SPOKE = """SELECT c_custkey AS episode, 'SPEAKER_00' AS id, CASE c_custkey % 3 WHEN 0 THEN 'Bo' WHEN 1 THEN ' ann lee' ELSE 'Zed' END AS name FROM {customer}
+ UNION ALL SELECT c_custkey, 'SPEAKER_01', CASE WHEN c_custkey % 5 = 0 THEN 'CY BO' ELSE 'c' END FROM {customer}"""
+_HOST = "CASE WHEN c_custkey % 4 = 0 THEN 'Ann Lee' WHEN c_custkey % 3 = 0 THEN 'Cy Bo' WHEN c_custkey % 3 = 1 THEN 'Ann Lee' WHEN c_custkey % 5 = 0 THEN 'Cy Bo' ELSE 'Whoever' END"
+
+
+def _hosts(s, d):
+    known = s.createDataFrame([(0, "Ann Lee"), (1, "Cy Bo")], "seq int, host string")
+    return names.hosts(sql(s, d, _SHOWS), sql(s, d, _SPOKE), known, "Whoever")
+
+
+@query(f"SELECT c_custkey AS episode, {_HOST} AS host FROM {{customer}}")
+def host_override(s, d):
+    """The host as stated, else as the mapping has one of the known hosts, else the default."""
+    return _hosts(s, d)
+
+
+@query(f"""WITH m AS ({_SPOKE}), h AS (SELECT c_custkey AS episode, {_HOST} AS host FROM {{customer}}) SELECT m.episode, m.id, m.name FROM m JOIN h ON h.episode = m.episode WHERE lower(trim(m.name)) = lower(h.host) OR lower(trim(m.name)) = 'zed'""")
+def known_speakers(s, d):
+    """Mapped names that are the host's or a contestant's."""
+    people = sql(s, d, "SELECT c_custkey AS episode, ' ZED' AS name FROM {customer}")
+    return names.mapped_to_known(sql(s, d, _SPOKE), people, _hosts(s, d)).select("episode", "id", "name")
+
+
+@query(f"""WITH people AS ({_CAST}), m AS ({_MAPPED}), cand AS (SELECT episode, seq, name, list_prepend(lower(name), list_filter(string_split(lower(name), ' '), lambda p: length(p) > 1)) AS ways, unnest(range(0, 9)) AS i FROM people),
+ parts AS (SELECT episode, seq, name, i, ways[i + 1] AS part FROM cand WHERE i < len(ways)),
+ near AS (SELECT episode, id, to_name FROM (SELECT m.episode, m.id, p.name AS to_name, row_number() OVER (PARTITION BY m.episode, m.id ORDER BY levenshtein(lower(m.name), part), p.seq, i) AS n FROM m JOIN parts p ON p.episode = m.episode AND levenshtein(lower(m.name), part) <= 3) x WHERE n = 1),
+ held AS (SELECT m.episode, m.id, arg_min(p.name, p.seq) AS to_name FROM m JOIN people p ON p.episode = m.episode AND contains(lower(p.name), lower(m.name)) GROUP BY m.episode, m.id)
+ SELECT m.episode, m.id, CASE WHEN m.name = 'Ken Host' THEN m.name ELSE coalesce(h.to_name, n.to_name, m.name) END AS resolved FROM m LEFT JOIN held h ON h.episode = m.episode AND h.id = m.id LEFT JOIN near n ON n.episode = m.episode AND n.id = m.id""")
+def reconciled_names(s, d):
+    """Mapped names as the contestants spell them."""
+    people, mapping, _ = _cast(s, d)
+    return names.reconcile(mapping, people, ["Ken Host"]).select("episode", "id", "resolved")
+
+
 _KINDS = ("attempt", "wagerer", "correction", "final")
 
 

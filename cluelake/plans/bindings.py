@@ -79,7 +79,7 @@ def _needed(template: str, out: dict[str, str]) -> None:
 def oracle(template: str) -> str:
     views: dict[str, str] = {}
     _needed(template, views)
-    ctes = [f"{n} AS ({t})" for n, t in views.items()]
+    ctes = [f"{n} AS MATERIALIZED ({t})" for n, t in views.items()]  # each is made once, however often it is named
     body, recursive = template.strip(), ""
     if m := re.match(r"(?i)WITH\s+(RECURSIVE\s+)?", body):
         recursive = m[1] or ""

@@ -28,8 +28,8 @@ def test_clue_context_and_splice(spark):
     got = {r["first"]: r.context.split("\n") for r in transcript.clue_context(c, seg).collect()}
     assert len(got[5]) == 13 and got[5][0] == "L2 [SPEAKER_00]: text 2" and got[5][3].endswith("◄ CLUE START") and got[5][4].endswith("◄ CLUE END")
     assert got[0][0] == "L0 [SPEAKER_00]: text 0 ◄ CLUE START ◄ CLUE END" and len(got[0]) == 9
-    k = spark.createDataFrame([("e", 1, 2, 3, "a clue of enough length", "x"), ("e", 2, 2, 3, "short", "x"), ("e", 3, 40, 41, None, "x")], "episode string, key long, first long, last long, said string, category string")
-    assert {r.key: r.text for r in transcript.spliced(k, seg).collect()} == {1: "a clue of enough length", 2: "text 2   text 3", 3: ""}
+    k = spark.createDataFrame([("e", 1, 2, 3, "a clue of enough length", "x"), ("e", 2, 2, 3, "short", "x"), ("e", 3, 40, 41, None, "x"), ("e", 4, 7, 2, "", "x")], "episode string, key long, first long, last long, said string, category string")
+    assert {r.key: r.text for r in transcript.spliced(k, seg).collect()} == {1: "a clue of enough length", 2: "text 2 text 3", 3: "", 4: "text 7"}
 
 
 def test_names_by_mapping(spark):
