@@ -92,15 +92,31 @@ def stakes(clues: DataFrame, ev: DataFrame) -> DataFrame:
     return done.select("episode", F.explode("x").alias("x")).select("episode", "x.pos", "x.stake")
 
 
+def additive(ev: DataFrame) -> DataFrame:
+    """ev with v as what each event adds: a True Daily Double its stake, won or lost.
+
+    Only players with such a one are folded, and the fold keeps a stake for each
+    of these and nothing for the others.
+    """
+    true = ev.filter("kind <> 'add'").select("episode", "who").distinct()
+    found = f"array<struct<pos:{ev.schema['pos'].dataType.simpleString()},stake:bigint>>"
+    start = F.struct(F.lit(0).cast("long").alias("score"), F.array().cast(found).alias("found"))
+
+    def step(acc: Column, e: Column) -> Column:
+        now = _step(acc["score"], e)
+        mark = F.struct(e["pos"].alias("pos"), (now - acc["score"]).alias("stake"))
+        return F.struct(now.alias("score"), F.when(e["kind"] == "add", acc["found"]).otherwise(F.array_append(acc["found"], mark)).alias("found"))
+
+    done = ev.join(true, ["episode", "who"], "left_semi").groupBy("episode", "who").agg(F.aggregate(_ordered(), start, step, lambda acc: acc["found"]).alias("x"))
+    stake = done.select("episode", "who", F.explode("x").alias("x")).select("episode", "who", "x.pos", F.col("x.stake").alias("_stake"))
+    x = ev.filter("kind <> 'add'").join(stake, ["episode", "who", "pos"]).withColumn("v", F.col("_stake")).drop("_stake")
+    return ev.filter("kind = 'add'").unionByName(x)
+
+
 def running(ev: DataFrame) -> DataFrame:
-    """episode, who, n, pos, score after each event."""
-    walk = lambda a, e: F.array_append(a, F.struct(e["pos"].alias("pos"), _step(F.coalesce(F.element_at(a, -1)["score"], F.lit(0).cast("long")), e).alias("score")))
-    kind = f"array<struct<pos:{ev.schema['pos'].dataType.simpleString()},score:bigint>>"
-    g = ev.groupBy("episode", "who").agg(_ordered().alias("e"))
-    first = F.lit(0).cast("long")
-    one = F.transform(F.slice("e", 1, 1), lambda e: F.struct(e["pos"].alias("pos"), _step(first, e).alias("score"))).cast(kind)
-    g = g.select("episode", "who", F.aggregate(F.slice("e", 2, F.size("e")), one, walk).alias("r"))
-    return g.select("episode", "who", F.posexplode("r").alias("n", "x")).select("episode", "who", (F.col("n") + 1).cast("long").alias("n"), F.col("x.pos").cast("long").alias("pos"), "x.score")
+    """episode, who, n, pos, score after each event: sums over a window, once every event adds."""
+    w = Window.partitionBy("episode", "who").orderBy("pos", "sub", "kind", "v", "m")
+    return additive(ev).select("episode", "who", F.row_number().over(w).cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("score"))
 
 
 def control(clues: DataFrame, attempts: DataFrame, contestants: DataFrame) -> DataFrame:
