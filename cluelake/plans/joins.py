@@ -13,7 +13,8 @@ _BUZZES = "SELECT DISTINCT CAST(event_id AS DOUBLE) / 4 AS t0, CAST(event_id AS
 
 
 @query(f"""WITH w AS ({_WORDS.replace(' AS end', ' AS "end"')}), b AS ({_BUZZES})
- SELECT t0, t1, coalesce(round_even(avg(prob), 4), 0.0) AS confidence, count(*) FILTER (WHERE word IN ('Um,', 'uh')) AS disfluencies FROM b LEFT JOIN w ON w.start >= t0 AND w."end" <= t1 GROUP BY t0, t1""")
+ , g AS (SELECT t0, t1, CAST(avg(prob) AS DECIMAL(20, 12)) * 10000 AS m, count(*) FILTER (WHERE word IN ('Um,', 'uh')) AS disfluencies FROM b LEFT JOIN w ON w.start >= t0 AND w."end" <= t1 GROUP BY t0, t1)
+ SELECT t0, t1, coalesce(CAST(CASE WHEN m - floor(m) > 0.5 OR m - floor(m) = 0.5 AND floor(m) % 2 = 1 THEN floor(m) + 1 ELSE floor(m) END AS DOUBLE) / 10000, 0.0) AS confidence, disfluencies FROM g""")
 def acoustics_one_recording(s, d):
     """Words within buzzes where one recording holds them all, so that no key deals them out."""
     return intervals.acoustics(sql(s, d, _BUZZES), sql(s, d, _WORDS), [], width=4.0)

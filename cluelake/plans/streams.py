@@ -88,11 +88,11 @@ def stream_scoreboard(s, d):
  min(seq) OVER (PARTITION BY episode, b, round, lower(trim(category))) AS first_seq FROM (SELECT *, round_even(start_ms / 2000, 0) * 2000 AS b FROM {clues}) x) y WHERE rn = 1""")
 def stream_dedup_best(s, d):
     """The best clue of each bucket, given out when the watermark has passed the bucket: games that are played at one time, in two batches."""
-    x = view(s, d, "clues").select("episode", "seq", "round", "category", "start_ms", "n_attempts", "text", F.timestamp_millis((F.lit(1_700_000_000_000) + F.col("start_ms")).cast("long")).alias("ts"))
-    mid = x.agg(F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2)")).first()[0]
-    end = x.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
-    end = end.select(*[F.col("ts") if f.name == "ts" else F.lit(-1 if f.name != "text" else "").cast(f.dataType).alias(f.name) for f in x.schema])
-    stream = in_files([x.filter(F.col("ts") <= F.lit(mid)), x.filter(F.col("ts") > F.lit(mid)), end], x.schema, "heard")
+    x = view(s, d, "clues").select("episode", "seq", "round", "category", "start_ms", "n_attempts", "text", F.timestamp_millis(F.lit(1_700_000_000_000)).alias("started"))
+    mid = x.agg(F.max("start_ms") / 2).first()[0]
+    end = x.agg((F.max("started") + F.expr("INTERVAL 9 DAYS")).alias("started"))
+    end = end.select(*[F.col("started") if f.name == "started" else F.lit(-1 if f.name != "text" else "").cast(f.dataType).alias(f.name) for f in x.schema])
+    stream = in_files([x.filter(F.col("start_ms") <= mid), x.filter(F.col("start_ms") > mid), end], x.schema, "heard")
     rows = ended(dedup.best_of_bucket(stream, "10 seconds"), "best", "append")
     return rows.filter("episode >= 0").select("episode", "seq", "first_seq", "round", "category", "n_attempts")
 

@@ -2,67 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
 
 from cluelake.operators.ordered import BUCKET_MS, strip
 
-BEST = "episode long, round string, bucket double, cat string, seq long, category string, start_ms double, n_attempts long, text string, first_seq long"
-_NAMES = [c.split()[0] for c in BEST.split(", ")]
-_HELD = "seq bigint, category string, start_ms double, n_attempts bigint, text string, first_seq bigint"
-
-
-class BestOfBucket(StatefulProcessor):
-    """Keeps one row for each key: the one of most attempts, then the longest text, then the first. It is given out, and the state dropped, when the watermark passes the bucket's end."""
-
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.best = handle.getValueState("best", _HELD)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held, closed = self.best.get() if self.best.exists() else None, timerValues.getCurrentWatermarkInMs()
-        for frame in rows:
-            for r in frame[frame["ends_ms"] > closed].itertuples():  # the timer goes off after a batch's rows
-                new = (int(r.seq), r.category, float(r.start_ms), int(r.n_attempts), r.text, int(r.seq))
-                if held is None:
-                    self.handle.registerTimer(int(r.ends_ms))
-                    held = new
-                else:
-                    first = min(held[5], new[0])
-                    held = (*(new if self._rank(new) < self._rank(held) else held)[:5], first)
-        if held is not None:
-            self.best.update(tuple(held))
-        yield pd.DataFrame(columns=_NAMES)
-
-    @staticmethod
-    def _rank(x) -> tuple:
-        return -x[3], -len(x[4] or ""), x[0]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        seq, category, start, n, text, first = self.best.get()
-        self.best.clear()
-        yield pd.DataFrame([(*key, seq, category, start, n, text, first)], columns=_NAMES)
-
-    def close(self) -> None:
-        pass
-
 
 def best_of_bucket(clues: DataFrame, late: str) -> DataFrame:
-    """BEST of a stream of clues (episode, seq, round, category, start_ms, n_attempts, text, ts), for the append mode.
-
-    As ordered.dedup(), for a stream: ts says when a clue was heard, and start_ms
-    when in its episode. What comes at most `late` behind the latest ts counts;
-    later rows are dropped. State holds one row for each bucket that is open, so
-    it doesn't grow with the stream.
+    """episode, round, seq, category, start_ms, n_attempts, text, first_seq of a stream of clues, for the append mode.
+
+    As ordered.dedup(), for a stream: of the clues (episode, seq, round, category,
+    start_ms, n_attempts, text, started) of one 2 s bucket, round and category
+    the one of most attempts counts, then the longest text, then the first.
+    started is when an episode began. A bucket is given out, and its state
+    dropped, when the watermark, `late` behind the latest bucket's end, passes
+    its end; clues of buckets that have been given out are dropped. State holds
+    one row for each open bucket, so it doesn't grow with the stream.
     """
     bucket = F.bround(F.col("start_ms") / BUCKET_MS, 0) * BUCKET_MS
-    ends = F.unix_millis("ts") + (bucket + BUCKET_MS / 2 - F.col("start_ms")).cast("long")
-    x = clues.withWatermark("ts", late).withColumns({"bucket": bucket, "cat": strip("category"), "n_attempts": F.coalesce("n_attempts", F.lit(0)), "ends_ms": ends})
-    return x.groupBy("episode", "round", "bucket", "cat").transformWithStateInPandas(BestOfBucket(), BEST, "append", "EventTime")
+    ends = F.timestamp_millis((F.unix_millis("started") + bucket + BUCKET_MS / 2).cast("long"))
+    x = clues.withColumns({"ends": ends, "cat": strip("category"), "n_attempts": F.coalesce("n_attempts", F.lit(0))}).withWatermark("ends", late)
+    row = F.struct("seq", "category", "start_ms", "n_attempts", "text")
+    rank = F.struct("n_attempts", F.length(F.coalesce("text", F.lit(""))), -F.col("seq"))
+    best = x.groupBy("ends", "episode", "round", "cat").agg(F.max_by(row, rank).alias("r"), F.min("seq").alias("first_seq"))
+    return best.select("episode", "round", "r.*", "first_seq")
 
 
 def first_of(rows: DataFrame, keys: list[str], late: str) -> DataFrame:

@@ -66,24 +66,25 @@ def test_interval_join_gives_out_the_unmatched_and_drops_state(spark, tmp_path):
     assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2
 
 
-HEARD = "episode long, seq long, round string, category string, start_ms double, n_attempts long, text string, ts timestamp"
+HEARD = "episode long, seq long, round string, category string, start_ms double, n_attempts long, text string, started timestamp"
 
 
 def heard(spark, *rows):
-    return spark.createDataFrame([(e, seq, "J!", cat, float(ms), n, text, T0 + timedelta(milliseconds=at)) for e, seq, cat, ms, n, text, at in rows], HEARD)
+    return spark.createDataFrame([(e, seq, "J!", cat, float(ms), n, text, T0) for e, seq, cat, ms, n, text in rows], HEARD)
 
 
 def test_best_of_bucket(spark, tmp_path):
     parts = [
-        heard(spark, (1, 1, "Cat", 1000.5, 1, "x", 1000), (1, 2, " cat ", 2900, 3, "y", 2900), (2, 1, "Cat", 2000, None, None, 2000)),
-        heard(spark, (1, 3, "CAT", 2500, 3, "longer", 2500), (1, 4, "Cat", 2600, 3, "longer", 2600), (1, 5, "Dog", 2000, 0, "d", 2900)),
-        heard(spark, (9, 9, "z", 900_000, 1, "z", 900_000)),
-        heard(spark, (1, 6, "Cat", 2000, 99, "far too late", 2000), (9, 10, "z", 901_000, 0, "z", 901_000)),
+        heard(spark, (1, 1, "Cat", 1000.5, 1, "x"), (1, 2, " cat ", 2900, 3, "y"), (2, 1, "Cat", 2000, None, None)),
+        heard(spark, (1, 3, "CAT", 2500, 3, "longer"), (1, 4, "Cat", 2600, 3, "longer"), (1, 5, "Dog", 2000, 0, "d")),
+        heard(spark, (9, 9, "z", 900_000, 1, "z")),
+        heard(spark, (9, 11, "z", 900_000, 0, "z")),  # the watermark of a batch is known to the next one
+        heard(spark, (1, 6, "Cat", 2000, 99, "far too late"), (9, 10, "z", 901_500, 0, "z")),
     ]
     q = live.run_to_end(dedup.best_of_bucket(files(spark, tmp_path / "in", parts), "5 seconds"), commit.stream_sink(f"file://{tmp_path}/out", lambda d: {"rows": d}), f"file://{tmp_path}/at", "append")
-    got = {(r.episode, r["cat"]): (r.seq, r.n_attempts, r.text, r.first_seq) for r in commit.read_table(spark, f"file://{tmp_path}/out", "rows").collect()}
+    got = {(r.episode, r.category.strip().lower()): (r.seq, r.n_attempts, r.text, r.first_seq) for r in commit.read_table(spark, f"file://{tmp_path}/out", "rows").collect()}
     assert got == {(1, "cat"): (3, 3, "longer", 1), (1, "dog"): (5, 0, "d", 5), (2, "cat"): (1, 0, None, 1)}
-    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4  # only the open bucket is held
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] <= 2  # only open buckets are held
 
 
 def test_first_of(spark, tmp_path):
