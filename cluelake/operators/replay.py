@@ -92,13 +92,13 @@ def stakes(clues: DataFrame, ev: DataFrame) -> DataFrame:
     return done.select("episode", F.explode("x").alias("x")).select("episode", "x.pos", "x.stake")
 
 
-def additive(ev: DataFrame) -> DataFrame:
-    """ev with v as what each event adds: a True Daily Double its stake, won or lost.
+def running(ev: DataFrame) -> DataFrame:
+    """episode, who, n, pos, score after each event: sums over a window, once True Daily Doubles have their stakes.
 
-    Only players with such a one are folded, and the fold keeps a stake for each
-    of these and nothing for the others.
+    The fold keeps a stake for each of these and nothing for other events, so
+    that it doesn't copy an array at each step; the window needs no shuffle, as
+    its keys are those of the fold.
     """
-    true = ev.filter("kind <> 'add'").select("episode", "who").distinct()
     found = f"array<struct<pos:{ev.schema['pos'].dataType.simpleString()},stake:bigint>>"
     start = F.struct(F.lit(0).cast("long").alias("score"), F.array().cast(found).alias("found"))
 
@@ -107,16 +107,13 @@ def additive(ev: DataFrame) -> DataFrame:
         mark = F.struct(e["pos"].alias("pos"), (now - acc["score"]).alias("stake"))
         return F.struct(now.alias("score"), F.when(e["kind"] == "add", acc["found"]).otherwise(F.array_append(acc["found"], mark)).alias("found"))
 
-    done = ev.join(true, ["episode", "who"], "left_semi").groupBy("episode", "who").agg(F.aggregate(_ordered(), start, step, lambda acc: acc["found"]).alias("x"))
-    stake = done.select("episode", "who", F.explode("x").alias("x")).select("episode", "who", "x.pos", F.col("x.stake").alias("_stake"))
-    x = ev.filter("kind <> 'add'").join(stake, ["episode", "who", "pos"]).withColumn("v", F.col("_stake")).drop("_stake")
-    return ev.filter("kind = 'add'").unionByName(x)
-
-
-def running(ev: DataFrame) -> DataFrame:
-    """episode, who, n, pos, score after each event: sums over a window, once every event adds."""
-    w = Window.partitionBy("episode", "who").orderBy("pos", "sub", "kind", "v", "m")
-    return additive(ev).select("episode", "who", F.row_number().over(w).cast("long").alias("n"), F.col("pos").cast("long").alias("pos"), F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("score"))
+    g = ev.groupBy("episode", "who").agg(_ordered().alias("e"))
+    g = g.withColumn("stakes", F.map_from_entries(F.aggregate("e", start, step, lambda acc: acc["found"])))
+    x = g.select("episode", "who", "stakes", F.posexplode("e").alias("n", "x"))
+    v = F.when(F.col("x.kind") == "add", F.col("x.v")).otherwise(F.try_element_at("stakes", F.col("x.pos")))
+    x = x.select("episode", "who", (F.col("n") + 1).cast("long").alias("n"), F.col("x.pos").cast("long").alias("pos"), v.alias("v"))
+    w = Window.partitionBy("episode", "who").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    return x.select("episode", "who", "n", "pos", F.sum("v").over(w).alias("score"))
 
 
 def control(clues: DataFrame, attempts: DataFrame, contestants: DataFrame) -> DataFrame:
