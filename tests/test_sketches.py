@@ -66,3 +66,39 @@ def test_sets_and_missing_days(spark):
     assert sorted(tuple(r) for r in sketches.returning(one, two, K).collect()) == [("a", 20, 30, 40), ("b", 0, 1, 0), ("z", 0, 0, 1)]
     assert sketches.merged(stored, K, "2025-01-01", "2025-01-02").count() == 0
     assert sketches.estimated(sketches.merged(stored, K, "2024-03-09", "2024-03-12"), K, (0.5,)).filter("kind = 'z'").first().n == 1
+
+
+def test_bitmaps_are_exact(spark):
+    """More things than sketches hold, of any sign and size, over parts that only one range has."""
+    r = random.Random(5)
+    data = [(r.choice("ab"), T0 + timedelta(hours=r.randint(0, 239)), r.choice([r.randint(-50_000, 50_000), 10**12 + r.randint(0, 9)])) for _ in range(60_000)]
+    data += [("c", T0, 7), ("c", T0, None), ("d", T0 + timedelta(days=8), 8), ("e", None, 9)]
+    sets = sketches.daily_sets(spark.createDataFrame(data, "kind string, ts timestamp, who long"), K, "ts", "who")
+    within = lambda kind, first, days: {who for k, t, who in data if k == kind and t and who is not None and T0 + timedelta(days=first) <= t < T0 + timedelta(days=first + days)}
+    got = {x.kind: x.n_things for x in sketches.distinct(sets, K, "2024-03-01", "2024-03-06").collect()}
+    assert got == {k: len(within(k, 0, 6)) for k in "abc"} and got["a"] > 1 << sketches.THETA_LG
+    both = {x.kind: (x.both, x.gone, x.new) for x in sketches.returning_exactly(sets, K, ("2024-03-01", "2024-03-04"), ("2024-03-08", "2024-03-10")).collect()}
+    a, b = ({k: within(k, *days) for k in "abcd"} for days in ((0, 4), (7, 3)))
+    assert both == {k: (len(a[k] & b[k]), len(a[k] - b[k]), len(b[k] - a[k])) for k in "abcd"}
+
+
+def _against_sql(spark, tmp_path, name):
+    """Rows of a query and of its SQL, over 40,000 users, of whom each has three events."""
+    import duckdb
+
+    import __spark_entry__ as entry
+
+    at = "TIMESTAMP '2024-01-01' + to_hours(24 * {} + i::INT % 24)"
+    rows = " UNION ALL ".join(f"SELECT 3 * i + {k} AS event_id, {at.format(day)} AS ts, i AS user_id, CASE WHEN i % 4 = 0 THEN 'click' ELSE 'view' END AS event_type, (i % 97)::DOUBLE AS value FROM range(40000) t(i)" for k, day in enumerate(("1", "(2 + i::INT % 5)", "(CASE WHEN i % 3 = 0 THEN 20 ELSE 10 END)")))
+    duckdb.sql(f"COPY ({rows}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    x = entry.queries()[name](spark, str(tmp_path))
+    want = con.execute(f"SELECT {', '.join(f'"{c}"' for c in x.columns)} FROM ({entry.oracle_sql()[name]}) q").fetchall()
+    return sorted(tuple(r) for r in x.collect()), sorted(want)
+
+
+@pytest.mark.parametrize("name", ["sketch_ranges"])
+def test_many_users_are_counted_as_by_sql(spark, tmp_path, name):
+    got, want = _against_sql(spark, tmp_path, name)
+    assert got == want
