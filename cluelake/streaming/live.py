@@ -54,22 +54,18 @@ class Replay(StatefulProcessor):
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
-        self.scores = handle.getMapState("scores", "who string", "score bigint, coryat bigint, adjusted bigint", self.ttl_ms)
-        self.pending = handle.getListState("pending", "after bigint, who string, points bigint", self.ttl_ms)
-        self.cast = handle.getMapState("cast", "who string", "known boolean", self.ttl_ms)
-        self.seen = handle.getValueState("seen", "clues bigint", self.ttl_ms)
+        # one value: each access to state is a call to the JVM
+        self.game = handle.getValueState("game", "clues bigint, cast array<string>, scores array<struct<who:string,score:bigint,coryat:bigint,adjusted:bigint>>, pending array<struct<after:bigint,who:string,points:bigint>>", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        table = {k[0]: list(v) for k, v in self.scores.iterator()}
-        pending = list(self.pending.get())
-        known = {k[0] for k in self.cast.keys()}
-        clues = self.seen.get()[0] if self.seen.exists() else 0
-        came = pd.concat(list(rows))
-        came = came.assign(_order=came["kind"].map(_ORDER)).sort_values(["_order", "pos"], kind="stable")
-        for r in came.itertuples():
+        clues, cast, scores, waiting = (self.game.get() if self.game.exists() else None) or (0, [], [], [])
+        table = {s[0]: list(s[1:]) for s in scores}
+        pending = [tuple(p) for p in waiting]
+        known = set(cast)
+        came = sorted((r for x in rows for r in x.itertuples()), key=lambda r: (_ORDER[r.kind], r.pos if _some(r.pos) else float("inf")))
+        for r in came:
             if r.kind == "cast":
                 known.add(r.who)
-                self.cast.updateValue((r.who,), (True,))
                 table.setdefault(r.who, [0, 0, 0])
             elif r.kind == "adjustment":
                 pending.append((int(r.after), r.who, int(r.points)))
@@ -84,13 +80,7 @@ class Replay(StatefulProcessor):
                 pending = [p for p in pending if p[0] != r.selection_order]
             elif not known or r.who in known:
                 table.setdefault(r.who, [0, 0, 0])[0] += int(r.points) if r.is_correct else -int(r.points)
-        for who, v in table.items():
-            self.scores.updateValue((who,), tuple(v))
-        if pending:
-            self.pending.put(pending)
-        else:
-            self.pending.clear()
-        self.seen.update((clues,))
+        self.game.update((clues, sorted(known), [(who, *v) for who, v in table.items()], pending))
         yield pd.DataFrame([(key[0], who, *v, len(pending), clues) for who, v in table.items() if not known or who in known], columns=[c.split()[0] for c in SCORES.split(", ")])
 
     def _clue(self, r, table: dict[str, list[int]], known: set[str]) -> None:

@@ -1,9 +1,13 @@
-"""Parts of a stream in files."""
+"""Parts of a stream in files, and how often a game's state is asked."""
 
 import os
+from types import SimpleNamespace
+
+import pandas as pd
 
 from cluelake.plans import streams
 from cluelake.sources import commit
+from cluelake.streaming import live
 
 
 def test_a_part_of_many_files_is_one_batch(spark, monkeypatch):
@@ -17,3 +21,31 @@ def test_a_part_of_many_files_is_one_batch(spark, monkeypatch):
     assert [got[b] for b in sorted(got)] == [set(range(100)), {200}, set(range(300, 340))]
     folder = dict(made)["several"].removeprefix("file://")
     assert [len([f for f in os.listdir(f"{folder}/{i:03d}") if f.endswith(".parquet")]) for i in range(3)] == [5, 5, 5]
+
+
+def test_a_game_asks_its_state_a_fixed_number_of_times():
+    calls, held = [], []
+
+    class Value:
+        def exists(self):
+            calls.append("exists")
+            return bool(held)
+
+        def get(self):
+            calls.append("get")
+            return held[-1]
+
+        def update(self, v):
+            calls.append("update")
+            held.append(v)
+
+    game = live.Replay()
+    game.init(SimpleNamespace(getValueState=lambda *a: Value()))
+    columns = [c.split()[0] for c in live.EVENTS.split(", ")]
+    cast = [{"episode": 1, "kind": "cast", "who": f"P{i}"} for i in range(3)]
+    fixes = [{"episode": 1, "kind": "adjustment", "who": "P1", "points": 100 * i, "after": i} for i in range(1, 4)]
+    clue = lambda i: {"episode": 1, "kind": "clue", "pos": i, "selection_order": i, "round": "J!", "board_row": 1, "is_dd": False, "speakers": ["P0"], "right": [True]}
+    for came in (cast + fixes + [clue(2), clue(1)], [clue(3), {"episode": 1, "kind": "final", "who": "P0", "points": 50, "is_correct": False}]):
+        (out,) = game.handleInputRows((1,), iter([pd.DataFrame(came, columns=columns)]), None)
+    assert calls == ["exists", "update", "exists", "get", "update"]
+    assert {r.who: (r.score, r.adjusted, r.pending, r.clues) for r in out.itertuples()} == {"P0": (550, 0, 0, 3), "P1": (600, 600, 0, 3), "P2": (0, 0, 0, 3)}
