@@ -122,11 +122,11 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes the rows as Parquet to the shared folder and reads them back."""
+def written(df: DataFrame, name: str, **options) -> DataFrame:
+    """Cuts the lineage: writes the rows as Parquet to the shared folder, with options of its writer, and reads them back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
