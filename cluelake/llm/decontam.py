@@ -119,11 +119,10 @@ def report(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     )
 
 
-def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
-    """The rows of docs without a match, with their own columns."""
+def clean(docs: DataFrame, items: DataFrame, size: int = WINDOW, stored: bool = False) -> DataFrame:
+    """The rows of docs without a match, with their own columns. stored: docs is a table as read from files."""
     cols = docs.columns
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *[docs[f"`{c}`"].alias(f"d{i}") for i, c in enumerate(cols)])
-    rows = common.written(rows, "docs")  # numbers the rows once
+    rows = common.numbered_rows(docs, stored)
     _, hits = _search(rows.select("row", F.col("row").alias("doc_id"), F.col(f"d{cols.index('text')}").alias("text")), items, size, 0)
     found = common.written(hits.select("row").distinct(), "contaminated")
     return rows.join(_small(found), "row", "left_anti").select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(cols)])

@@ -115,7 +115,7 @@ def pack(docs: DataFrame, extra, separator: int = 32) -> DataFrame:
 
     rows = docs.select("doc_id", extra.cast("long").alias("extra"), "text")
     # a row group is held whole where it is written and where it is read; Parquet looks at its bytes after 100 rows only, which are 400 MB here
-    out = common.written(rows.mapInArrow(run, SCHEMA), "segments", **{"parquet.block.row.count.limit": "1"})
+    out = common.written(rows.mapInArrow(run, SCHEMA), "segments", compression="zstd", **{"parquet.block.row.count.limit": "1"})
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")  # a row is MBs
     return out
 

@@ -259,7 +259,7 @@ def _fetched(seg: DataFrame, wanted: DataFrame, n_segments: int) -> DataFrame:
             x = Sets(s.only(ats[i : i + 256]))
             yield pa.RecordBatch.from_pydict({"fp": x.fp, "set": pa.array([x.h[a : a + n].view(np.int64) for a, n in zip(x.first.tolist(), x.n.tolist())], pa.list_(pa.int64()))})
 
-    out = common.written(segments.each(seg, run, "fp long, set array<long>"), "sets")
+    out = common.written_alone(segments.each(seg, run, "fp long, set array<long>"), "sets")
     common.session(seg.sparkSession)
     return out
 
@@ -314,12 +314,12 @@ def _stars(groups: DataFrame, sets: DataFrame) -> DataFrame:
     Of near copies that is the nearest to their common source. m, n: sizes; apart: the hashes that only one of both has.
     """
     pivot = groups.groupBy("h").agg(F.min(F.struct("alone", "fp")).alias("p")).select("h", F.col("p.fp").alias("p"))
-    pairs = common.written(groups.join(pivot, "h").filter("fp != p").select("p", "fp").distinct(), "star-pairs")
+    pairs = common.written_alone(groups.join(pivot, "h").filter("fp != p").select("p", "fp").distinct(), "star-pairs")
     one = lambda c, v: sets.select(F.col("fp").alias(c), F.col("set").alias(v))
     x = pairs.join(one("p", "s"), "p").join(one("fp", "t"), "fp")
     x = x.select("p", "fp", F.size("s").alias("m"), F.size("t").alias("n"), F.concat(F.array_except("s", "t"), F.array_except("t", "s")).alias("apart"))
     linked = F.size("apart") * (100 + PERCENT) <= (100 - PERCENT) * (F.col("m") + F.col("n"))
-    return common.written(x.withColumn("linked", linked), "stars")
+    return common.written_alone(x.withColumn("linked", linked), "stars")
 
 
 def _with_component(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -348,7 +348,7 @@ def _recentred(stars: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]
     x = _ranked(rows, ["p"], F.col("size"))
     up_to = lambda k: F.col("place") <= F.col("size") - F.col(k) + 1
     x = x.withColumn("short", up_to("with_far")).filter(F.col("short") | (~F.col("near") & up_to("with_near")))
-    x = common.written(x.select(F.xxhash64("p", "h").alias("h"), "fp", "component", "near", "short"), "recentred")
+    x = common.written_alone(x.select(F.xxhash64("p", "h").alias("h"), "fp", "component", "near", "short"), "recentred")
     return x.filter("short").drop("short"), x.filter("near OR NOT short").drop("short")
 
 
@@ -381,30 +381,30 @@ def _groups(docs: DataFrame) -> DataFrame:
     size = common.text_bytes(docs)
     seg = segments.pack(docs, F.lit(0))
     n_segments = seg.count()
-    described = common.written(segments.each(seg, _described, "doc_id long, n long, fp long, seg long, at long, margin0 long, margin1 long, parity binary"), "described")
+    described = common.written_alone(segments.each(seg, _described, "doc_id long, n long, fp long, seg long, at long, margin0 long, margin1 long, parity binary"), "described")
     n = common.parts(size / 8, BUCKET)  # about 0.7 segment hashes for each word of 6 bytes
     sent = segments.each(seg, lambda s: _sent(s, n), "bucket long, sets binary, counts binary, sigs binary")
-    met = common.written(segments.by_bucket(sent, _met, "a long, b long, role long"), "met")
-    sizes = common.written(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at", "parity")).alias("w")).select("fp", "n", "margin0", "margin1", "w.seg", "w.at", "w.parity"), "distinct-sets")
+    met = common.written_alone(segments.by_bucket(sent, _met, "a long, b long, role long"), "met")
+    sizes = common.written_alone(described.filter("n > 0").groupBy("fp").agg(F.min("n").alias("n"), F.min("margin0").alias("margin0"), F.min("margin1").alias("margin1"), F.min(F.struct("seg", "at", "parity")).alias("w")).select("fp", "n", "margin0", "margin1", "w.seg", "w.at", "w.parity"), "distinct-sets")
     common.session(docs.sparkSession)
     pairs = met.filter(F.col("role") == PAIR).select("a", "b").distinct()
     shared = met.filter(F.col("role") == MEMBER).select(F.col("a").alias("h"), F.col("b").alias("fp")).distinct()
     lost = met.filter("role >= 0").groupBy(F.col("a").alias("fp")).agg(*[F.sum(F.when(F.col("role") == r, F.col("b"))).alias(f"lost{r}") for r in (0, 1)])
     deficient = sizes.join(lost, "fp", "left").filter("coalesce(lost0, 0) > margin0 OR coalesce(lost1, 0) > margin1").select("fp")
-    deficient = common.written(deficient, "deficient")
-    pairs = common.written(_plausible(pairs, sizes), "pairs")
+    deficient = common.written_alone(deficient, "deficient")
+    pairs = common.written_alone(_plausible(pairs, sizes), "pairs")
     fetched = lambda of: _fetched(seg, of.distinct().join(sizes, "fp").select("fp", "seg", "at"), n_segments)
     ends = lambda p: p.select(F.col("a").alias("fp")).union(p.select("b"))
     sets = fetched(ends(pairs).union(deficient))
-    rare = common.written(_rare_groups(sets.join(deficient, "fp", "left_semi")), "rare")
-    links = common.written(_linked(pairs, sets), "links")
+    rare = common.written_alone(_rare_groups(sets.join(deficient, "fp", "left_semi")), "rare")
+    links = common.written_alone(_linked(pairs, sets), "links")
     stars = _stars(rare, sets)
-    links = common.written(links.union(stars.filter("linked").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b"))).distinct(), "links")
+    links = common.written_alone(links.union(stars.filter("linked").select(F.least("fp", "p").alias("a"), F.greatest("fp", "p").alias("b"))).distinct(), "links")
     comp = components(links)
     fringe, two = _recentred(stars, comp)
-    shared = common.written(_with_component(shared, comp), "shared").withColumn("near", F.lit(True))
-    pairs = common.written(_plausible(_across(fringe.unionByName(shared), two), sizes), "pairs")
-    more = common.written(_linked(pairs, fetched(ends(pairs))), "links")
+    shared = common.written_alone(_with_component(shared, comp), "shared").withColumn("near", F.lit(True))
+    pairs = common.written_alone(_plausible(_across(fringe.unionByName(shared), two), sizes), "pairs")
+    more = common.written_alone(_linked(pairs, fetched(ends(pairs))), "links")
     if not more.isEmpty():
         comp = components(links.union(more))
     node = described.filter("n > 0").join(comp.select(F.col("node").alias("fp"), "component"), "fp", "left").select("doc_id", "n", F.coalesce("component", "fp").alias("c"))
@@ -413,17 +413,19 @@ def _groups(docs: DataFrame) -> DataFrame:
     return out.union(described.filter("n = 0").select("doc_id", "n", "doc_id"))
 
 
-def representatives(docs: DataFrame) -> DataFrame:
-    """One row of docs for each group of linked sets: that of the least doc_id (nulls last); rows without shingles stay. Columns stay."""
+def representatives(docs: DataFrame, stored: bool = False) -> DataFrame:
+    """One row of docs for each group of linked sets: that of the least doc_id (nulls last); rows without shingles stay. Columns stay.
+
+    stored: docs is a table as read from files, so no copy of it is needed to number its rows.
+    """
     cols = docs.columns
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), *[docs[f"`{c}`"].alias(f"d{i}") for i, c in enumerate(cols)])
-    rows = common.written(rows, "docs")  # numbers the rows once
+    rows = common.numbered_rows(docs, stored)
     name, text = f"d{cols.index('doc_id')}", f"d{cols.index('text')}"
     g = groups(rows.select(F.col("row").alias("doc_id"), F.col(text).alias("text"))).select(F.col("doc_id").alias("row"), "component_id")
     g = g.join(rows.select("row", F.col(name).alias("id")), "row")
     first = g.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "row")).alias("w"), F.count("*").alias("n")).filter("n > 1")
     gone = g.join(first, "component_id").filter("row != w.row").select("row")
-    return rows.join(common.written(gone, "copies"), "row", "left_anti").select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(cols)])
+    return rows.join(common.written_alone(gone, "copies"), "row", "left_anti").select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(cols)])
 
 
 SQL = r"""

@@ -5,7 +5,7 @@ import re
 
 import numpy as np
 
-from cluelake.llm import setjoin
+from cluelake.llm import common, setjoin
 from cluelake.llm.segments import Segment
 
 
@@ -143,3 +143,13 @@ def test_representatives(spark):
     got = setjoin.representatives(spark.createDataFrame(rows, "doc_id long, text string, row string")).collect()
     assert sorted(x["row"] for x in got) == ["b", "d", "e", "f"]
     assert {x["row"]: x["text"] for x in got}["b"] == t.upper()
+
+
+def test_stored_rows_are_not_written_again(spark, tmp_path):
+    """A stored table's rows are known by their places in its files; rows that are equal in all columns as well."""
+    rows = [(2, "one two three"), (1, "one two three"), (1, "one two three"), (3, None), (3, None), (4, "four five")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    before = set(common._paths)
+    got = setjoin.representatives(spark.read.parquet(f"{tmp_path}/docs"), stored=True).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, [(1, "one two three"), (3, None), (3, None), (4, "four five")]))
+    assert not [p for p in common._paths if p not in before and "/docs-" in p[1]]
