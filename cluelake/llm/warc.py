@@ -1,6 +1,6 @@
 """Operator 2: WARC files, and an audit of replicas by Merkle trees.
 
-Records are hashed (leaves), and ordered runs of FAN neighbours, which cover a
+Records, as stored, are hashed (leaves), and ordered runs of FAN neighbours, which cover a
 range of offsets, are hashed level by level up to one root for each file; the
 files' roots are the leaves of the replica's own tree. Two replicas are
 compared from their roots down: only children of nodes that differ are looked
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,7 +28,9 @@ FAN = 16
 #: Payload bytes of a file.
 FILE_BYTES = 32_000_000
 #: Bytes read at a time where a record's end isn't known yet.
-HEAD = 4096
+HEAD = 16384
+#: Of gzip.
+LEVEL = 1
 
 
 def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
@@ -38,83 +41,114 @@ def record(page_id: int | None, url: str | None, html: str | None) -> bytes:
 
 
 def write(pages: DataFrame, folder: str, n_files: int) -> DataFrame:
-    """Writes pages (page_id, url, html, flip) as WARC files in ascending page_id; returns file_no, file, n_bytes.
+    """Writes pages (page_id, url, html, flip) as WARC files in ascending page_id; returns file_no, file, n_bytes, flips.
 
-    Null ids come first; rows with equal ids follow one another by the hash of
-    url and html, so that no page is needed to find the files' bounds. Where
-    flip is true a bit in the middle of the record is inverted: damage for
-    tests of the audit. A file gets its name when it is complete.
+    A record is a gzip member of its own, as WARC files are kept. Null ids come
+    first; rows with equal ids follow one another by the hash of url and html,
+    so that no page is needed to find the files' bounds. flips: where the
+    middle bytes of the stored records with flip stand, for replicate(). A file
+    gets its name when it is complete.
     """
     order = [F.col("page_id").asc_nulls_first(), F.col("tie")]
     rows = pages.select("page_id", "url", "html", "flip", F.xxhash64("url", "html").alias("tie")).repartitionByRange(n_files, *order)
     rows = rows.sortWithinPartitions(*order, F.col("url").asc_nulls_first(), F.col("html").asc_nulls_first()).drop("tie")
 
     def run(batches):
-        no, (fs, top), out, size = TaskContext.get().partitionId(), filesystem(folder), None, 0
-        final, mine = f"{top}/part-{no:06d}.warc", f"{top}/_{no}-{uuid.uuid4().hex}"
+        no, (fs, top), out, size, flips = TaskContext.get().partitionId(), filesystem(folder), None, 0, []
+        final, mine = f"{top}/part-{no:06d}.warc.gz", f"{top}/_{no}-{uuid.uuid4().hex}"
         for batch in batches:
             for p, u, h, flip in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     fs.create_dir(top, recursive=True)
                     out = fs.open_output_stream(mine)
-                raw = bytearray(record(p, u, h))
+                raw = packed(record(p, u, h))
+                out.write(raw)
                 if flip:
-                    raw[len(raw) // 2] ^= 1
-                out.write(bytes(raw))
+                    flips.append(size + len(raw) // 2)
                 size += len(raw)
         if out is not None:
             out.close()
             fs.move(mine, final)
-            yield pa.RecordBatch.from_pydict({"file_no": [no], "file": [final], "n_bytes": [size]})
+            yield pa.RecordBatch.from_arrays([pa.array([no]), pa.array([final]), pa.array([size]), pa.array([flips], pa.list_(pa.int64()))], names=["file_no", "file", "n_bytes", "flips"])
 
-    return common.written(rows.mapInArrow(run, "file_no long, file string, n_bytes long"), "warc-files")
+    return common.written(rows.mapInArrow(run, "file_no long, file string, n_bytes long, flips array<bigint>"), "warc-files")
 
 
-def records(source: pafs.FileSystem, file: str, index: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, bytes]]:
-    """(offset, bytes) of each record of a WARC stream, one at a time; with an index, at those offsets and lengths.
+def replicate(files: DataFrame, folder: str) -> DataFrame:
+    """Copies the files to the folder, with a bit inverted in each byte of flips: damage for tests of the audit; returns file_no, file."""
 
-    Without one, a record ends where its Content-Length says; a stream that can't be parsed any further ends in one last record.
+    def run(batches):
+        fs, top = filesystem(folder)
+        fs.create_dir(top, recursive=True)
+        for batch in batches:
+            for no, file, flips in zip(*(c.to_pylist() for c in batch.columns)):
+                final, mine, at = f"{top}/{file.rsplit('/', 1)[1]}", f"{top}/_{no}-{uuid.uuid4().hex}", 0
+                with fs.open_input_stream(file, compression=None) as source, fs.open_output_stream(mine) as out:
+                    while raw := bytearray(source.read(1 << 20)):
+                        for x in flips:
+                            if at <= x < at + len(raw):
+                                raw[x - at] ^= 1
+                        out.write(bytes(raw))
+                        at += len(raw)
+                fs.move(mine, final)
+                yield pa.RecordBatch.from_pydict({"file_no": [no], "file": [final]})
+
+    return common.written(files.select("file_no", "file", "flips").repartition(max(1, files.count()), "file_no").mapInArrow(run, "file_no long, file string"), "warc-files")
+
+
+def packed(raw: bytes) -> bytes:
+    """A gzip member; equal for equal bytes."""
+    z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
+    return z.compress(raw) + z.flush()
+
+
+def records(source: pafs.FileSystem, file: str, index: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, bytes, bytes | None]]:
+    """(offset, stored bytes, record) of each gzip member of a WARC stream, one at a time; with an index, at those offsets and lengths, and without the record.
+
+    A stream that can't be unpacked any further ends in one last record, given as it is stored.
     """
-    with source.open_input_stream(file, buffer_size=1 << 20) as f:
+    with source.open_input_stream(file, compression=None, buffer_size=1 << 20) as f:
         at = 0
         if index is not None:
             for _, n in index:
                 raw = f.read(n)
                 if not raw:
                     return
-                yield at, raw
+                yield at, raw, None
                 at += n
             rest = f.read()
             if rest:
-                yield at, rest
+                yield at, rest, None
             return
-        held = b""  # read, but not yet given out
-
-        def more() -> bool:
-            nonlocal held
-            x = f.read(HEAD)
-            held += x
-            return bool(x)
-
-        while True:
-            while (end := held.find(b"\r\n\r\n")) < 0 and more():
-                pass
-            if not held:
+        held = f.read(HEAD)  # read, but not yet given out
+        while held:
+            z, read, raw = zlib.decompressobj(31), [held], []
+            try:
+                raw.append(z.decompress(held))
+                while not z.eof:
+                    if not (more := f.read(HEAD)):
+                        raise zlib.error("cut")
+                    read.append(more)
+                    raw.append(z.decompress(more))
+            except zlib.error:
+                stored = b"".join(read) + f.read()
+                yield at, stored, stored
                 return
-            size = next((x[15:] for x in held[: max(end, 0)].split(b"\r\n") if x.lower().startswith(b"content-length:")), b"")
-            if end < 0 or not size.strip().isdigit():
-                raw, held = held + f.read(), b""
-            else:
-                n = end + 4 + int(size) + 4
-                if len(held) < n:
-                    held += f.read(n - len(held))
-                raw, held = held[:n], held[n:]
-            yield at, raw
-            at += len(raw)
+            held, stored = z.unused_data, b"".join(read)
+            stored = stored[: len(stored) - len(held)]
+            yield at, stored, b"".join(raw)
+            at += len(stored)
+            held = held or f.read(HEAD)
+
+
+def _page_id(raw: bytes) -> int | None:
+    line = next((x for x in raw[:512].split(b"\r\n") if x.startswith(b"WARC-Record-ID: <urn:page:")), b"")
+    x = line.split(b"urn:page:")[-1].rstrip(b">")
+    return int(x) if x else None
 
 
 def leaves(files: DataFrame, folder: str, against: DataFrame | None = None) -> DataFrame:
-    """file_no, at, start, end, hash of every record of the files.
+    """file_no, at, start, end, hash of every record of the files as stored; and, where they are parsed, page_id, n_bytes, record_sha256 of the record.
 
     against: leaves of the first replica, whose ranges the others are hashed in (fixity compares the same ranges).
     """
@@ -125,16 +159,22 @@ def leaves(files: DataFrame, folder: str, against: DataFrame | None = None) -> D
         src = files.select("file_no", "file").join(ends, "file_no", "left").select("file_no", "file", F.coalesce("ends", F.array().cast("array<bigint>")).alias("ends"))
 
     parsed = against is None
+    schema = "file_no long, at long, start long, end long, hash string" + (", page_id long, n_bytes long, record_sha256 string" if parsed else "")
 
     def run(batches):
         fs, _ = filesystem(folder)
+        kinds = [pa.string() if x.endswith("string") else pa.int64() for x in schema.split(", ")]
         for batch in batches:
             for no, file, ends in zip(*(c.to_pylist() for c in batch.columns)):
                 index = None if parsed else [(a, b - a) for a, b in zip([0, *ends], ends)]
-                rows = [(no, i, a, a + len(raw), hashlib.sha256(raw).hexdigest()) for i, (a, raw) in enumerate(records(fs, file, index))]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)] or [pa.array([], pa.int64())] * 4 + [pa.array([], pa.string())], names=["file_no", "at", "start", "end", "hash"])
+                rows = []
+                for i, (a, stored, raw) in enumerate(records(fs, file, index)):
+                    row = (no, i, a, a + len(stored), hashlib.sha256(stored).hexdigest())
+                    rows.append(row + ((_page_id(raw), len(raw), hashlib.sha256(raw).hexdigest()) if parsed else ()))
+                cols = [*zip(*rows)] or [()] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], names=[x.split()[0] for x in schema.split(", ")])
 
-    return common.written(src.repartition(max(1, files.count()), "file_no").mapInArrow(run, "file_no long, at long, start long, end long, hash string"), "warc-leaves")
+    return common.written(src.repartition(max(1, files.count()), "file_no").mapInArrow(run, schema), "warc-leaves")
 
 
 def _level(nodes: DataFrame) -> DataFrame:
@@ -192,38 +232,21 @@ def audited(pages: DataFrame, damaged) -> DataFrame:
     """page_id, n_bytes, record_sha256, corrupt of each row of pages (page_id, url, html).
 
     Writes two replicas, the second damaged where the condition `damaged`
-    holds, hashes both from their files, and locates the damage by descent.
+    holds, hashes both from their files, as stored, and locates the damage by
+    descent. A record's own hash and length are told from the first one's files.
     """
     spark = common.session(pages.sparkSession)
     src = pages.select("page_id", "url", "html")
     n = common.parts(src.agg(F.sum(F.octet_length("html"))).first()[0] or 0, FILE_BYTES)
     one, two = common.new_path(spark, "warc-a"), common.new_path(spark, "warc-b")
-    a = leaves(write(src.withColumn("flip", F.lit(False)), one, n), one)
-    b = leaves(write(src.withColumn("flip", F.coalesce(damaged, F.lit(False))), two, n), two, a)
-    found = audit(tree(a), tree(b)).select("file_no", "at", F.lit(True).alias("corrupt"))
-    ids = _ids(a, one)
-    return ids.join(found, ["file_no", "at"], "left").select("page_id", "n_bytes", F.col("hash").alias("record_sha256"), F.coalesce("corrupt", F.lit(False)).alias("corrupt"))
-
-
-def _ids(leaf: DataFrame, folder: str) -> DataFrame:
-    """The leaves with page_id and n_bytes, read from the records' heads at their offsets."""
-
-    def run(batches):
-        fs, top = filesystem(folder)
-        for batch in batches:
-            cols = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-            ids, open_no, f = [], None, None
-            for no, a, b in zip(cols["file_no"], cols["start"], cols["end"]):
-                if no != open_no:
-                    f, open_no = fs.open_input_file(f"{top}/part-{no:06d}.warc"), no
-                f.seek(a)
-                line = next(x for x in f.read(min(512, b - a)).split(b"\r\n") if x.startswith(b"WARC-Record-ID"))
-                x = line.split(b"urn:page:")[1].rstrip(b">")
-                ids.append(int(x) if x else None)
-            size = [b - a for a, b in zip(cols["start"], cols["end"])]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(size, pa.int64()), *(batch.column(n) for n in ("file_no", "at", "hash"))], names=["page_id", "n_bytes", "file_no", "at", "hash"])
-
-    return leaf.mapInArrow(run, "page_id long, n_bytes long, file_no long, at long, hash string")
+    files = write(src.withColumn("flip", F.coalesce(damaged, F.lit(False))), one, n)
+    common.collected(spark)  # pages as shuffled take more of the disk than a replica
+    a = leaves(files, one)
+    common.collected(spark)
+    b = leaves(replicate(files, two), two, a)
+    nodes = a.select("file_no", "at", "start", "end", "hash")
+    found = audit(tree(nodes), tree(b)).select("file_no", "at", F.lit(True).alias("corrupt"))
+    return a.join(found, ["file_no", "at"], "left").select("page_id", "n_bytes", "record_sha256", F.coalesce("corrupt", F.lit(False)).alias("corrupt"))
 
 
 SQL = r"""

@@ -1,6 +1,8 @@
 """Operator 2: round trips, and audits of damaged replicas."""
 
+import gzip
 import hashlib
+import random
 
 from pyspark.sql import functions as F
 
@@ -35,3 +37,20 @@ def test_truncated_and_missing(spark, tmp_path):
     assert found and {r.file_no for r in found} == {f.file_no} and all(r.status in ("changed", "missing") for r in found)
     ta = warc.tree(la)
     assert warc.audit(ta, ta).count() == 0
+
+
+def test_pages_are_shuffled_once_and_kept_packed(spark, tmp_path):
+    """For both replicas; any reader of gzip finds the records one after another."""
+    r = random.Random(3)
+    rows = [(i, "u", "".join(r.choice("0123456789abcdefghijklmnopqrstuvwxyz") for _ in range(4000))) for i in range(300)]
+    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    src = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2).localCheckpoint()
+    before = written()
+    assert sorted(x.page_id for x in warc.audited(src, F.col("page_id") == 7).collect() if x.corrupt) == [7]
+    assert written() - before < 1.5 * 4000 * len(rows)
+    files = warc.write(src.withColumn("flip", F.col("page_id") == 7), f"file://{tmp_path}/a", 2)
+    whole = lambda d: [open(f.file, "rb").read() for f in d.orderBy("file_no").collect()]
+    one, two = whole(files), whole(warc.replicate(files, f"file://{tmp_path}/b"))
+    assert b"".join(map(gzip.decompress, one)) == b"".join(warc.record(*x) for x in rows)
+    assert sum(x != y for a, b in zip(one, two, strict=True) for x, y in zip(a, b, strict=True)) == 1
+    assert sum(map(len, one)) < 0.8 * 4000 * len(rows)
