@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import defaultdict, namedtuple
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from cluelake.operators.replay import TRUE_DD
@@ -15,6 +17,15 @@ from cluelake.operators.replay import TRUE_DD
 EVENTS = "episode long, kind string, who string, points long, after long, is_correct boolean, pos long, round string, board_row int, is_dd boolean, wager string, wagerer string, selection_order long, speakers array<string>, right array<boolean>"
 SCORES = "episode long, who string, score long, coryat long, adjusted long, pending long, clues long"
 
+#: Successive episodes that are a key together.
+RUN = 64
+#: What is kept of a game.
+_GAME = {"clues": "bigint", "cast": "array<string>", "scores": "array<struct<who:string,score:bigint,coryat:bigint,adjusted:bigint>>", "pending": "array<struct<after:bigint,who:string,points:bigint>>"}
+_SCORES = [c.split()[0] for c in SCORES.split(", ")]
+_Score = Row(*_SCORES)
+#: A row of EVENTS; its values are had by name at less cost than a Row's.
+_Event = namedtuple("_Event", [c.split()[0] for c in EVENTS.split(", ")])
+
 _FACE = {"J!": 200, "Double J!": 400}
 _ORDER = {"cast": 0, "adjustment": 1, "clue": 2, "final": 3}
 
@@ -55,14 +66,20 @@ class Replay(StatefulProcessor):
 
     def init(self, handle) -> None:
         # one value: each access to state is a call to the JVM
-        self.game = handle.getValueState("game", "clues bigint, cast array<string>, scores array<struct<who:string,score:bigint,coryat:bigint,adjusted:bigint>>, pending array<struct<after:bigint,who:string,points:bigint>>", self.ttl_ms)
+        self.game = handle.getValueState("game", ", ".join(f"{n} {kind}" for n, kind in _GAME.items()), self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        clues, cast, scores, waiting = (self.game.get() if self.game.exists() else None) or (0, [], [], [])
+        game, scores = self._played(self.game.get() if self.game.exists() else None, (r for x in rows for r in x.itertuples()))
+        self.game.update(game)
+        yield pd.DataFrame([(key[0], *v) for v in scores], columns=_SCORES)
+
+    def _played(self, held: tuple | None, rows: Iterable) -> tuple[tuple, list[tuple]]:
+        """The state of a game, and its SCORES without the episode, after the rows of a batch, where it was held before."""
+        clues, cast, scores, waiting = held or (0, [], [], [])
         table = {s[0]: list(s[1:]) for s in scores}
         pending = [tuple(p) for p in waiting]
         known = set(cast)
-        came = sorted((r for x in rows for r in x.itertuples()), key=lambda r: (_ORDER[r.kind], r.pos if _some(r.pos) else float("inf")))
+        came = sorted(rows, key=lambda r: (_ORDER[r.kind], r.pos if _some(r.pos) else float("inf")))
         for r in came:
             if r.kind == "cast":
                 known.add(r.who)
@@ -80,8 +97,8 @@ class Replay(StatefulProcessor):
                 pending = [p for p in pending if p[0] != r.selection_order]
             elif not known or r.who in known:
                 table.setdefault(r.who, [0, 0, 0])[0] += int(r.points) if r.is_correct else -int(r.points)
-        self.game.update((clues, sorted(known), [(who, *v) for who, v in table.items()], pending))
-        yield pd.DataFrame([(key[0], who, *v, len(pending), clues) for who, v in table.items() if not known or who in known], columns=[c.split()[0] for c in SCORES.split(", ")])
+        game = clues, sorted(known), [(who, *v) for who, v in table.items()], pending
+        return game, [(who, *v, len(pending), clues) for who, v in table.items() if not known or who in known]
 
     def _clue(self, r, table: dict[str, list[int]], known: set[str]) -> None:
         face = _FACE.get(r.round, 0) * int(r.board_row) if _some(r.board_row) else 0
@@ -111,10 +128,34 @@ class Replay(StatefulProcessor):
         pass
 
 
+class RunReplay(Replay):
+    """Replay of a run of episodes, which are a key together; takes and gives rows.
+
+    A key costs some milliseconds for the calls to its state, and as pandas
+    frames more than its few rows do. State is as large as the episodes of a run.
+    """
+
+    def init(self, handle) -> None:
+        self.games = handle.getValueState("games", f"games array<struct<episode:bigint,{','.join(f'{n}:{kind}' for n, kind in _GAME.items())}>>", self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        held = self.games.get()  # None without a state
+        games = {g[0]: tuple(g[1:]) for g in held[0]} if held else {}
+        came = defaultdict(list)
+        for r in rows:
+            came[r[0]].append(_Event._make(r[: len(_Event._fields)]))
+        for episode, events in came.items():
+            games[episode], scores = self._played(games.get(episode), events)
+            for v in scores:
+                yield _Score(episode, *v)
+        self.games.update(([(episode, *game) for episode, game in games.items()],))
+
+
 def scoreboard(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """SCORES of the episodes that a batch of EVENTS touches, for the update mode. pending: corrections that wait or came too late."""
     mode = "None" if ttl_ms is None else "ProcessingTime"
-    return events.groupBy("episode").transformWithStateInPandas(Replay(ttl_ms), SCORES, "update", mode)
+    run = F.expr(f"episode div {RUN if ttl_ms is None else 1}")  # with a time to live, each episode has its own
+    return events.select(*_Event._fields, run.alias("run")).groupBy("run").transformWithState(RunReplay(ttl_ms), SCORES, "update", mode)
 
 
 def run_to_end(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "update"):
